@@ -1,0 +1,165 @@
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from wayfleet.functions.geo import expected_step
+from wayfleet.operators import trips
+from wayfleet.operators.neighbours import with_previous
+from wayfleet.schemas import DESTINATION
+
+T0 = dt.datetime(2024, 1, 1)
+SCHEMA = "id bigint, device_id string, timestamp timestamp, lat double, lon double"
+LAT, LON = DESTINATION
+FAR = (41.0, -73.0)
+
+
+def frame(spark, rows):
+    """Rows are (id, device, seconds after the start, lat, lon)."""
+    return spark.createDataFrame(
+        [(i, d, None if s is None else T0 + dt.timedelta(seconds=s), lat, lon) for i, d, s, lat, lon in rows], SCHEMA
+    )
+
+
+@pytest.mark.parametrize(
+    "lat, lon, inside",
+    [
+        (LAT, LON, True),
+        (LAT + 0.0199, LON - 0.0199, True),
+        (LAT + 0.03, LON, False),
+        (LAT, LON + 0.03, False),
+        (None, LON, False),
+    ],
+)
+def test_geofence(spark, lat, lon, inside):
+    assert trips.arrivals(frame(spark, [(1, "d", 0, lat, lon)])).count() == int(inside)
+
+
+def test_geofence_border_is_inside(spark):
+    box = frame(spark, [(1, "d", 0, 2.5, 1.0), (2, "d", 1, 2.5, 1.5), (3, "d", 2, 2.500001, 1.0)])
+    got = trips.arrivals(box, target=(2.0, 1.0), tolerance=0.5)
+    assert sorted(r["id"] for r in got.collect()) == [1, 2]
+
+
+def test_truncation_ends_before_the_first_arrival(spark):
+    rows = [(i, "d", i * 40, *(DESTINATION if i in (3, 5) else FAR)) for i in range(8)]
+    rows += [(i, "at once", i * 40, *DESTINATION) for i in range(100, 103)]
+    rows += [(i, "never", i * 40, None, None) for i in range(200, 203)]
+    got = {(r["device_id"], r["id"]): r["rn"] for r in trips.truncate_trips(frame(spark, rows)).collect()}
+    assert got == {("d", 0): 1, ("d", 1): 2, ("d", 2): 3, ("never", 200): 1, ("never", 201): 2, ("never", 202): 3}
+
+
+@pytest.mark.parametrize("n, kept", [(200, 200), (201, 200), (350, 200)])
+def test_truncation_cap(spark, n, kept):
+    rows = [(i, "d", i // 3, *FAR) for i in range(n)]
+    got = trips.truncate_trips(frame(spark, rows).repartition(7))
+    assert sorted(r["id"] for r in got.collect()) == list(range(kept))
+
+
+def test_truncation_ignores_an_arrival_past_the_cap(spark):
+    rows = [(i, "d", i, *(DESTINATION if i == 12 else FAR)) for i in range(20)]
+    assert trips.truncate_trips(frame(spark, rows), max_ticks=10).count() == 10
+
+
+def test_truncation_matches_plain_windows_when_one_device_dominates(spark, same):
+    rng = random.Random(5)
+    rows = []
+    for i in range(3000):
+        device = "hot" if i % 3 == 0 else f"d{rng.randrange(40)}"
+        rows.append((i, device, rng.randrange(2000), *(DESTINATION if rng.random() < 0.004 else FAR)))
+    df = frame(spark, rows).repartition(16)
+    w = Window.partitionBy("device_id").orderBy("timestamp", "id")
+    arrived = (F.abs(F.col("lat") - LAT) <= 0.02) & (F.abs(F.col("lon") - LON) <= 0.02)
+    plain = (
+        df.withColumn("rn", F.row_number().over(w).cast("bigint"))
+        .withColumn("a", F.max(arrived).over(w))
+        .filter("rn <= 200 AND NOT a")
+        .drop("a")
+    )
+    got = trips.truncate_trips(df)
+    assert same(plain, got)
+
+
+def test_truncation_limits_groups_before_the_shuffle(spark):
+    plan = trips.truncate_trips(frame(spark, [(1, "d", 0, *FAR)]))._jdf.queryExecution().executedPlan().toString()
+    first_exchange = plan.rindex("Exchange hashpartitioning(device_id")
+    assert "Partial" in plan[first_exchange:] and "WindowGroupLimit" in plan[first_exchange:]
+
+
+def skewed(spark):
+    """A third of the rows on one device, a third of those on one instant, plus NULL devices and times."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(1800):
+        if i % 3 == 0:
+            device, second = "hot", 7200 if i % 9 == 0 else rng.randrange(200_000)
+        else:
+            device = None if i % 50 == 1 else f"d{rng.randrange(30)}"
+            second = None if i % 70 == 1 else rng.randrange(200_000)
+        rows.append((i, device, second, rng.random(), rng.random()))
+    return frame(spark, rows).repartition(5)
+
+
+def plain_previous(df):
+    w = Window.partitionBy("device_id").orderBy("timestamp", "id")
+    return df.withColumn("p", F.lag("id").over(w)).select("id", "p")
+
+
+@pytest.mark.parametrize("piece_rows", [1_000_000, 60, 10])
+def test_previous_row_equals_a_plain_window(spark, same, piece_rows):
+    df = skewed(spark)
+    got = with_previous(df, ["id", "lat"], piece_rows=piece_rows).select("id", F.col("prev.id").alias("p"))
+    want = plain_previous(df)
+    assert got.count() == 1800
+    assert same(want, got)
+
+
+def test_previous_row_among_copies_of_one_record(spark):
+    rows = [(1, "d", 10, 1.0, 2.0)] * 400 + [(2, "d", 20, 3.0, 4.0), (0, "d", 5, 0.0, 0.0)]
+    df = frame(spark, rows).repartition(4)
+    got = with_previous(df, ["id"], piece_rows=50)
+    pairs = {(r["id"], r["p"]): r["n"] for r in
+             got.groupBy("id", F.col("prev.id").alias("p")).agg(F.count("*").alias("n")).collect()}
+    assert pairs == {(0, None): 1, (1, 0): 1, (1, 1): 399, (2, 1): 1}
+
+
+def test_previous_row_never_windows_a_whole_device(spark):
+    """Only border rows may reach the window that is partitioned by the device alone."""
+    plan = with_previous(skewed(spark), ["lat"])._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    by_device = [i for i, line in enumerate(plan.splitlines()) if "], [device_id#" in line and "_piece#" not in line]
+    assert windows and len(by_device) == 1
+    below = plan.splitlines()[by_device[0] + 1 :]
+    pieces = next(i for i, line in enumerate(below) if "Window [" in line and "_piece#" in line)
+    assert any("Filter (" in line for line in below[:pieces])
+
+
+def test_legs(spark):
+    north, east = expected_step(0), expected_step(1)
+    rows = [
+        (1, "d", 0, 40.0, -73.0),
+        (2, "d", 40, 40.0 + north + 0.0004, -73.0 + east - 0.0004),
+        (3, "d", 80, 40.0 + north, -73.0 + 2 * east),
+        (4, "d", 120, LAT, LON),
+    ]
+    got = {r["id"]: r for r in trips.legs(frame(spark, rows)).collect()}
+    assert got[1]["dlat"] is None and got[1]["step_ok"] is None
+    assert got[2]["step_ok"] and got[2]["dlat"] == pytest.approx(north + 0.0004)
+    assert not got[3]["step_ok"]
+    assert (got[1]["lat_dir"], got[1]["lon_dir"]) == (1, 1)
+    # Equality counts as "not below".
+    assert (got[4]["lat_dir"], got[4]["lon_dir"]) == (-1, -1)
+
+
+def test_gaps(spark):
+    rows = [(1, "d", 0, *FAR), (2, "d", 30, *FAR), (3, "d", 90, *FAR), (4, "d", 119, *FAR), (5, "e", 119, *FAR)]
+    got = {r["id"]: (r["gap_us"], r["in_range"]) for r in trips.gaps(frame(spark, rows)).collect()}
+    assert got == {1: (None, None), 2: (30_000_000, True), 3: (60_000_000, True), 4: (29_000_000, False), 5: (None, None)}
+
+
+def test_gap_across_slices(spark):
+    rows = [(i, "d", s, *FAR) for i, s in enumerate([3599, 3601, 90_000, 90_001])]
+    got = {r["id"]: r["gap_us"] for r in trips.gaps(frame(spark, rows)).collect()}
+    assert got == {0: None, 1: 2_000_000, 2: 86_399_000_000, 3: 1_000_000}

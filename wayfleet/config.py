@@ -30,6 +30,9 @@ class JobConfig:
     trigger_interval: str | None = None
     # Extra sink layout: adds an event_date column and folder level for partition pruning.
     partition_by_date: bool = False
+    # Opt-in extras; without them every row lands as it was decoded.
+    quarantine: bool = False
+    dedup: bool = False
 
     @classmethod
     def from_env(cls, root: str, env: Mapping[str, str] | None = None, **overrides) -> JobConfig:

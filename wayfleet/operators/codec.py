@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from wayfleet.functions.geo import parse_point
 
@@ -30,12 +30,12 @@ def decode(log: DataFrame, schema: StructType) -> DataFrame:
 def decode_flagged(log: DataFrame, schema: StructType, keep: tuple[str, ...] = ()) -> DataFrame:
     """``decode`` plus ``is_bad`` and, for bad rows, the untouched ``raw`` text.
 
-    One parse serves good and bad rows. Land the result with ``is_bad`` as a partition column and
-    select either side from the table: a filter put directly on the decoded columns would move
-    below the decode and parse every value a second time.
+    One parse serves good and bad rows. Land the result with the flag as a folder level and select
+    either side from the table: a filter put directly on the decoded columns would move below the
+    decode and parse every value a second time.
     """
     text = F.col("value").cast("string")
-    flagged = StructType(schema.fields).add(CORRUPT, "string")
+    flagged = StructType([*schema.fields, StructField(CORRUPT, StringType())])
     parsed = log.select(
         *keep,
         text.alias("raw"),

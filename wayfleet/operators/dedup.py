@@ -20,20 +20,24 @@ def _drop_copies_in_batch(keys: list[str]):
 
 
 def dedup_stream(
-    records: DataFrame, id_col: str = "id", time_col: str = "timestamp", delay: str = WATERMARK
+    records: DataFrame,
+    id_col: str = "id",
+    time_col: str = "timestamp",
+    delay: str = WATERMARK,
+    also: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per record id on a stream that may deliver a record more than once.
 
     Copies of a record carry its timestamp, so the key is ``(id, timestamp)``: the watermark then
     clears old keys and the state stays bounded, while a copy that comes after its key was cleared
-    is itself late and dropped. NULL keys count as one key.
+    is itself late and dropped. NULL keys count as one key; columns in ``also`` tell them apart.
 
     The stateful operator shuffles by key without combining first, so copies are already dropped
     inside each Arrow batch on the map side; a key holding a large share of the stream reaches its
     reducer as one row per batch. Copies have the same event time, so which of them is kept never
     changes what the watermark lets through.
     """
-    keys = [id_col, time_col]
+    keys = [id_col, time_col, *also]
     combined = records.mapInArrow(_drop_copies_in_batch(keys), records.schema)
     return combined.withWatermark(time_col, delay).dropDuplicates(keys)
 

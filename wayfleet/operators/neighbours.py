@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from wayfleet.session import ensure_checkpoint_dir
@@ -68,15 +68,21 @@ def _stitch(df: DataFrame, carry: list[str], device: str, order: tuple[str, ...]
     """
     inside = Window.partitionBy(device, PIECE).orderBy(*order)
     borders = Window.partitionBy(device).orderBy(*order)
-    rows = df.withColumn("prev", F.lag(F.struct(*carry)).over(inside)).withColumn(
-        "_last", F.lead(F.lit(True)).over(inside).isNull()
-    )
+    rows = df.withColumns({"prev": _lag(carry, inside), "_last": F.lead(F.lit(True)).over(inside).isNull()})
     first = F.col("prev").isNull()
     heads = (
         rows.filter(first | F.col("_last"))
-        .withColumn("_first", first)
-        .withColumn("prev", F.coalesce("prev", F.lag(F.struct(*carry)).over(borders)))
+        .withColumns({"_first": first, "prev": _lag(carry, borders)})
         .filter("_first")
         .drop("_first")
     )
     return rows.filter(~first).unionByName(heads).drop(PIECE, "_last")
+
+
+def _lag(carry: list[str], over: WindowSpec) -> Column:
+    """Struct of the lagged columns, NULL where there is no row before.
+
+    Lagging a struct would send a second copy of its columns through the shuffle.
+    """
+    there_is_one = F.lag(F.lit(True)).over(over)
+    return F.when(there_is_one, F.struct(*(F.lag(c).over(over).alias(c) for c in carry)))

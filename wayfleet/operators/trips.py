@@ -16,7 +16,7 @@ from wayfleet.schemas import (
 )
 
 ORDER = ("timestamp", "id")
-SALTS = 64
+SALTS = 16
 
 
 def arrivals(ticks: DataFrame, target=DESTINATION, tolerance: float = ARRIVAL_TOLERANCE) -> DataFrame:
@@ -30,16 +30,18 @@ def truncate_trips(
     order: tuple[str, ...] = ORDER,
     target=DESTINATION,
     max_ticks: int = MAX_TICKS,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Each device's ticks before its first arrival, ``max_ticks`` at most, numbered in ``rn``. Batch only.
 
     No row past ``max_ticks`` is ever published, whatever it says, so the first ``max_ticks`` rows
     of a device decide everything. They are taken in two steps, per (device, salt) and then per
-    device; Spark turns the first into a group limit ahead of the shuffle. A device of any size
-    thus brings at most ``SALTS * max_ticks`` rows to the final window.
+    device. Spark turns the first into a group limit ahead of the shuffle, so a task passes on at
+    most ``max_ticks`` rows of a device, and the salt divides what all tasks pass on. A device of
+    any size brings at most ``salts * max_ticks`` rows to the final window.
     """
     # A salt by task rather than by value also spreads rows that are copies of one record.
-    salted = ticks.withColumn("_salt", F.spark_partition_id() % SALTS)
+    salted = ticks.withColumn("_salt", F.spark_partition_id() % salts)
     leading = (
         salted.withColumn("_rn", F.row_number().over(Window.partitionBy(device, "_salt").orderBy(*order)))
         .filter(F.col("_rn") <= max_ticks)

@@ -17,7 +17,7 @@ from wayfleet.plans.ticks import payloads, records, ticks, ticks_stream
 from wayfleet.schemas import DEFAULT_TOPICS, KINDS, WATERMARK, schema
 from wayfleet.session import shared_dir, tune
 from wayfleet.sources.landed import read_landed, register
-from wayfleet.streaming.land import decoded_stream, land, start_landing
+from wayfleet.streaming.land import land, landing_frame, start_landing
 from wayfleet.streaming.supervise import supervise
 
 ORDER = ("timestamp", "event_id")
@@ -78,7 +78,7 @@ def dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _gps_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = codec.encode(records(ticks_stream(spark, sf_dir))["gps"])
-    return decoded_stream(log, "gps", WATERMARK)
+    return landing_frame(log, "gps", JobConfig(root=""))[0]
 
 
 def watermark_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,12 +8,12 @@ from pyspark.sql.types import StructType
 LEAD = "id string, device_id string, timestamp timestamp, location string"
 
 EXTRA = {
-    "vehicle": "speed double, make string, model string, year int",
+    "vehicle": "speed double, make string, model string, year integer",
     "gps": "speed double",
     "traffic": "camera_id string, snapshot string",
     "weather": (
-        "temperature double, weather_condition string, precipitation int, "
-        "humidity int, wind_speed double, air_quality double"
+        "temperature double, weather_condition string, precipitation integer, "
+        "humidity integer, wind_speed double, air_quality double"
     ),
     "emergency": "incident_id string, incident_type string, status string, description string",
 }
@@ -71,4 +71,7 @@ KINDS = tuple(EXTRA)
 
 def schema(kind: str) -> StructType:
     """Wire schema of one record kind; every field is nullable."""
-    return StructType.fromDDL(f"{LEAD}, {EXTRA[kind]}")
+    fields = StructType()
+    for column in f"{LEAD}, {EXTRA[kind]}".split(", "):
+        fields.add(*column.split())
+    return fields

@@ -1,13 +1,12 @@
-"""Landed tables: direct reads and catalog registration."""
+"""Landed tables: direct reads, catalog registration and a join-ready layout."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import DataFrame, SparkSession
 
 from wayfleet.config import JobConfig
-from wayfleet.schemas import KINDS, schema
+from wayfleet.operators.correlate import TICK
+from wayfleet.schemas import EXTRA, KINDS, LEAD, schema
 
 
 def read_landed(spark: SparkSession, config: JobConfig, kind: str) -> DataFrame:
@@ -15,7 +14,8 @@ def read_landed(spark: SparkSession, config: JobConfig, kind: str) -> DataFrame:
 
     Spark's reader follows the sink's commit log, so files of uncommitted batches stay invisible.
     """
-    return spark.read.schema(schema(kind)).parquet(config.output(kind))
+    landed = schema(kind).add("raw", "string") if config.quarantine else schema(kind)
+    return spark.read.schema(landed).parquet(config.output(kind))
 
 
 def landed_folders(spark: SparkSession, output_root: str) -> dict[str, str]:
@@ -29,20 +29,38 @@ def landed_folders(spark: SparkSession, output_root: str) -> dict[str, str]:
 def register(spark: SparkSession, database: str, config: JobConfig) -> list[str]:
     """Create the database and one external table per landed folder; returns the table names.
 
-    Tables of known topics get their fixed schema, any other folder the schema of its files.
+    Tables of known topics in the plain layout get their fixed schema, others that of their files.
     """
-    kinds: Mapping[str, str] = {config.topics[kind]: kind for kind in KINDS}
+    kinds = {config.topics[kind]: kind for kind in KINDS}
+    plain = not (config.partition_by_date or config.quarantine)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     folders = landed_folders(spark, f"{config.root.rstrip('/')}/output")
     for name, where in folders.items():
-        table = f"`{database}`.`{name}`"
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        spark.catalog.createTable(
-            f"{database}.{name}",
-            path=where,
-            source="parquet",
-            schema=schema(kinds[name]) if name in kinds and not config.partition_by_date else None,
-        )
-        if config.partition_by_date:
-            spark.catalog.recoverPartitions(f"{database}.{name}")
+        columns = f"({LEAD}, {EXTRA[kinds[name]]})" if plain and name in kinds else ""
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+        spark.sql(f"CREATE TABLE `{database}`.`{name}` {columns} USING parquet LOCATION '{where}'")
     return list(folders)
+
+
+def cluster_by_tick(spark: SparkSession, database: str, config: JobConfig, buckets: int) -> list[str]:
+    """Rewrite the landed tables bucketed and sorted by ``(device_id, timestamp)``; returns their names.
+
+    Correlating the rewritten tables needs no shuffle and no sort, however often it is done. The
+    one-file-per-task output also replaces the many small files of a low-rate stream. NULL keys
+    hash to one bucket, and no join can use them, so they stay in the landed tables.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    names = []
+    for kind in KINDS:
+        name = f"{database}.{config.topics[kind]}_by_tick"
+        (
+            read_landed(spark, config, kind)
+            .dropna(subset=TICK)
+            .repartition(buckets, *TICK)
+            .write.bucketBy(buckets, *TICK)
+            .sortBy(*TICK)
+            .mode("overwrite")
+            .saveAsTable(name)
+        )
+        names.append(name)
+    return names

@@ -17,7 +17,9 @@ def parse(argv: list[str] | None = None) -> JobConfig:
     parser.add_argument("--trigger-interval", help="time between batches, such as '1 minute'")
     parser.add_argument("--max-offsets-per-trigger", type=int)
     parser.add_argument("--min-partitions", type=int)
-    parser.add_argument("--partition-by-date", action="store_true")
+    parser.add_argument("--partition-by-date", action="store_true", help="add event_date folders")
+    parser.add_argument("--quarantine", action="store_true", help="keep the text of undecodable values, in verdict=bad folders")
+    parser.add_argument("--dedup", action="store_true", help="drop re-delivered records")
     given = {k: v for k, v in vars(parser.parse_args(argv)).items() if v is not None}
     return JobConfig.from_env(**given)
 

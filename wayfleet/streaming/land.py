@@ -9,20 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wayfleet.config import JobConfig
-from wayfleet.operators.codec import decode
+from wayfleet.operators.codec import decode, decode_flagged
+from wayfleet.operators.dedup import dedup_stream
 from wayfleet.schemas import KINDS, schema
 from wayfleet.sources.kafka import topic_stream
 
 
-def decoded_stream(log: DataFrame, kind: str, delay: str) -> DataFrame:
-    """Decoded records with their event-time watermark.
-
-    Nothing in the landing path keeps state, so the watermark drops no late row; it is there for
-    stateful operators that are put behind this frame.
-    """
-    return decode(log, schema(kind)).withWatermark("timestamp", delay).alias(kind)
-
-
 def land(
     records: DataFrame,
     path: str,
@@ -50,6 +42,28 @@ def land(
     return writer.start()
 
 
+def landing_frame(log: DataFrame, kind: str, config: JobConfig) -> tuple[DataFrame, tuple[str, ...]]:
+    """What one topic's query writes, and the folder columns it is laid out by.
+
+    Unless ``dedup`` is on nothing here keeps state, so the watermark drops no late row; it is there
+    for stateful operators that are put behind this frame.
+    """
+    if config.quarantine:
+        flagged = decode_flagged(log, schema(kind))
+        # Folder names come back as text whatever they were, so text is what is written.
+        verdict = F.when(F.col("is_bad"), F.lit("bad")).otherwise(F.lit("good"))
+        records, folders = flagged.withColumn("verdict", verdict).drop("is_bad"), ("verdict",)
+    else:
+        records, folders = decode(log, schema(kind)), ()
+    if config.dedup:
+        records = dedup_stream(records, delay=config.watermark, also=("raw",) if config.quarantine else ())
+    else:
+        records = records.withWatermark("timestamp", config.watermark)
+    if config.partition_by_date:
+        records, folders = records.withColumn("event_date", F.to_date("timestamp")), (*folders, "event_date")
+    return records.alias(kind), folders
+
+
 def start_landing(
     spark: SparkSession,
     config: JobConfig,
@@ -60,9 +74,7 @@ def start_landing(
     started = []
     for kind in KINDS:
         log = logs[kind] if logs else topic_stream(spark, config, kind)
-        records = decoded_stream(log, kind, config.watermark)
-        if config.partition_by_date:
-            records = records.withColumn("event_date", F.to_date("timestamp"))
+        records, folders = landing_frame(log, kind, config)
         started.append(
             land(
                 records,
@@ -70,7 +82,7 @@ def start_landing(
                 config.checkpoint(kind),
                 interval=config.trigger_interval,
                 available_now=available_now,
-                partition_by=("event_date",) if config.partition_by_date else (),
+                partition_by=folders,
             )
         )
     return started
