@@ -96,22 +96,30 @@ def sibling_logs(spark, batches):
 
 
 def test_five_way_stream_join(spark, batches, tmp_path):
-    config = JobConfig(root="x")
-    streams = {k: landing_frame(log, k, config)[0] for k, log in sibling_logs(spark, batches).items()}
+    streams = {k: codec.decode(log, schema(k)) for k, log in sibling_logs(spark, batches).items()}
     out = run(spark, correlate(streams), tmp_path).collect()
     assert len(out) == 15
     assert all(r["vehicle_id"][1:] == r["gps_id"][1:] == r["emergency_id"][1:] for r in out)
 
 
 def test_stream_and_table_correlation_agree(spark, same, batches, tmp_path):
-    config = JobConfig(root="x")
     logs = sibling_logs(spark, batches)
-    streams = {k: landing_frame(log, k, config)[0] for k, log in logs.items()}
+    streams = {k: codec.decode(log, schema(k)) for k, log in logs.items()}
     tables = {k: codec.decode(spark.read.text(str(tmp_path / k)), schema(k)) for k in KINDS}
     live, still = run(spark, correlate(streams), tmp_path), correlate(tables)
     assert same(live, still)
 
 
+def test_copies_of_a_record_do_not_multiply(spark, same, batches, tmp_path):
+    logs = sibling_logs(spark, batches)
+    once = {k: codec.decode(spark.read.text(str(tmp_path / k)), schema(k)) for k in KINDS}
+    twice = {k: df.unionByName(df) for k, df in once.items()}
+    assert same(correlate(once), correlate(twice))
+    streams = {k: codec.decode(log.unionByName(log), schema(k)) for k, log in logs.items()}
+    live = run(spark, correlate(streams), tmp_path)
+    assert same(correlate(once), live)
+
+
 def test_record_ids_do_not_join(spark, batches, tmp_path):
     sibling_logs(spark, batches)
     left, right = (codec.decode(spark.read.text(str(tmp_path / k)), schema(k)) for k in ("vehicle", "gps"))

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 
@@ -74,6 +75,8 @@ def test_landed_timestamps_carry_statistics(spark, landed):
 def test_clustered_tables_correlate_without_a_shuffle(spark, same, landed):
     names = cluster_by_tick(spark, "reg3", landed, buckets=4)
     tables = {kind: spark.table(name) for kind, name in zip(KINDS, names, strict=True)}
+    files = [f for f in os.listdir(f"{landed.root}/by_tick/gps_data") if f.endswith(".parquet")]
+    assert len(files) == 4 and tables["gps"].count() == 1000
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 
 from wayfleet.schemas import WATERMARK
 
+RECORD = ("id", "timestamp")
+
 
 def _drop_copies_in_batch(keys: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -20,28 +22,23 @@ def _drop_copies_in_batch(keys: list[str]):
 
 
 def dedup_stream(
-    records: DataFrame,
-    id_col: str = "id",
-    time_col: str = "timestamp",
-    delay: str = WATERMARK,
-    also: tuple[str, ...] = (),
+    records: DataFrame, keys: tuple[str, ...] = RECORD, time_col: str = "timestamp", delay: str = WATERMARK
 ) -> DataFrame:
-    """One row per record id on a stream that may deliver a record more than once.
+    """One row per key on a stream that may deliver a record more than once.
 
-    Copies of a record carry its timestamp, so the key is ``(id, timestamp)``: the watermark then
-    clears old keys and the state stays bounded, while a copy that comes after its key was cleared
-    is itself late and dropped. NULL keys count as one key; columns in ``also`` tell them apart.
+    ``records`` has no watermark yet. ``keys`` holds the event time: copies of a record carry its timestamp, the watermark then clears
+    old keys so that the state stays bounded, and a copy that comes after its key was cleared is
+    itself late and dropped. NULLs count as one key.
 
     The stateful operator shuffles by key without combining first, so copies are already dropped
     inside each Arrow batch on the map side; a key holding a large share of the stream reaches its
-    reducer as one row per batch. Copies have the same event time, so which of them is kept never
-    changes what the watermark lets through.
+    reducer as one row per batch. Rows of one key have the same event time, so which of them is
+    kept never changes what the watermark lets through.
     """
-    keys = [id_col, time_col, *also]
-    combined = records.mapInArrow(_drop_copies_in_batch(keys), records.schema)
-    return combined.withWatermark(time_col, delay).dropDuplicates(keys)
+    combined = records.mapInArrow(_drop_copies_in_batch(list(keys)), records.schema)
+    return combined.withWatermark(time_col, delay).dropDuplicates(list(keys))
 
 
-def dedup_table(records: DataFrame, id_col: str = "id", time_col: str = "timestamp") -> DataFrame:
-    """Batch form: an aggregation, so Spark already combines copies before the shuffle."""
-    return records.dropDuplicates([id_col, time_col])
+def dedup_table(records: DataFrame, keys: tuple[str, ...] = RECORD) -> DataFrame:
+    """Batch form: an aggregation, so Spark itself combines copies before the shuffle."""
+    return records.dropDuplicates(list(keys))

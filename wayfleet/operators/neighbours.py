@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from wayfleet.operators.skew import GROUP_ROWS, split_crowded
 from wayfleet.session import ensure_checkpoint_dir
 
 PIECE = "_piece"
 SPREAD = "_spread"
-MAX_CROWDED = 100_000
 
 
 def with_previous(
@@ -17,37 +17,34 @@ def with_previous(
     carry: list[str],
     device: str = "device_id",
     order: tuple[str, ...] = ("timestamp", "id"),
-    slice_unit: str = "hour",
-    piece_rows: int = 2_000_000,
+    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Add struct ``prev``: the ``carry`` columns of the device's preceding row, NULL on its first.
 
     ``order`` starts with the event time; ties on all of it are ordered arbitrarily.
 
-    A window over the device alone would put all its rows into one task. Here the order is cut into
-    pieces, a window runs per (device, piece), and only the border rows of the pieces meet in a
-    window over the device. Pieces are time slices as long as each holds at most ``piece_rows``
-    rows. Devices with a larger slice (bursts, a stuck clock, masses of copies) are cut into range
-    partitions of even size instead. One aggregation over two columns decides which case applies.
+    Devices of ordinary size take a plain window: one shuffle. A device with more than
+    ``group_rows`` rows would fill one task, so its order is cut into pieces, a window runs per
+    (device, piece), and only the border rows of the pieces meet in a window over the device.
+    Hours are the pieces unless one of them is too large itself (a burst, a stuck clock, masses of
+    copies); then ranges of even size are.
     """
-    sliced = df.withColumn(PIECE, F.date_trunc(slice_unit, F.col(order[0])))
-    sizes = sliced.groupBy(device, PIECE).agg(F.count(F.lit(1)).alias("n"))
-    total, largest = sizes.agg(F.sum("n"), F.max("n")).first()
-    # At most MAX_CROWDED groups can exceed this, which bounds the broadcast below.
-    limit = max(piece_rows, (total or 0) // MAX_CROWDED)
-    if (largest or 0) <= limit:
-        return _stitch(sliced, carry, device, order)
-
-    crowded = F.broadcast(sizes.filter(F.col("n") > limit).select(F.col(device).alias("_device")).distinct())
-    same_device = F.col(device).eqNullSafe(F.col("_device"))
-    even = _range_pieces(df.join(crowded, same_device, "left_semi"), device, order, total // limit + 1)
-    return _stitch(sliced.join(crowded, same_device, "left_anti"), carry, device, order).unionByName(
-        _stitch(even, carry, device, (*order, SPREAD)).drop(SPREAD)
-    )
+    split = split_crowded(df, device, group_rows)
+    over_device = Window.partitionBy(device).orderBy(*order)
+    calm = split.calm.withColumn("prev", _lag(carry, over_device))
+    if split.crowded is None:
+        return calm
+
+    hourly = split.crowded.withColumn(PIECE, F.date_trunc("hour", F.col(order[0])))
+    largest = hourly.groupBy(device, PIECE).count().agg(F.max("count")).first()[0]
+    if largest <= split.limit:
+        return calm.unionByName(_stitch(hourly, carry, device, order))
+    even = _range_pieces(split.crowded, device, order, 2 * (split.crowded_rows // split.limit + 1))
+    return calm.unionByName(_stitch(even, carry, device, (*order, SPREAD)).drop(SPREAD))
 
 
 def _range_pieces(df: DataFrame, device: str, order: tuple[str, ...], pieces: int) -> DataFrame:
-    """Cut rows into ``2 * pieces`` even ranges of the device order.
+    """Cut rows into even ranges of the device order.
 
     The random last key also parts rows that agree on all other keys. Range borders come from a
     sample, so the assignment is fixed by a checkpoint before two branches of a plan read it.
@@ -55,7 +52,7 @@ def _range_pieces(df: DataFrame, device: str, order: tuple[str, ...], pieces: in
     ensure_checkpoint_dir(df.sparkSession)
     return (
         df.withColumn(SPREAD, F.rand(7))
-        .repartitionByRange(2 * pieces, device, *order, SPREAD)
+        .repartitionByRange(pieces, device, *order, SPREAD)
         .withColumn(PIECE, F.spark_partition_id())
         .checkpoint()
     )

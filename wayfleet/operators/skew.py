@@ -1,0 +1,45 @@
+"""Tell keys that fit one task from keys that do not. Batch only."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
+
+GROUP_ROWS = 2_000_000
+MAX_CROWDED = 100_000
+
+
+@dataclass(frozen=True)
+class Split:
+    """Rows of keys with at most ``limit`` rows, and (if there are any) the rows of larger keys."""
+
+    calm: DataFrame
+    crowded: DataFrame | None
+    limit: int
+    crowded_rows: int = 0
+
+
+def split_crowded(df: DataFrame, key: str, group_rows: int = GROUP_ROWS) -> Split:
+    """Split by the number of rows per key; no row is lost, NULL is a key like any other.
+
+    Sizes come from one aggregation over the key column. The limit grows with the table so that at
+    most ``MAX_CROWDED`` keys can exceed it: that bounds the list that is fetched and broadcast.
+    """
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    total, largest = sizes.agg(F.sum("n"), F.max("n")).first()
+    limit = max(group_rows, (total or 0) // MAX_CROWDED)
+    if (largest or 0) <= limit:
+        return Split(df, None, limit)
+    found = sizes.filter(F.col("n") > limit).collect()
+    fields = StructType([StructField("_key", df.schema[key].dataType)])
+    names = F.broadcast(df.sparkSession.createDataFrame([(row[key],) for row in found], fields))
+    is_crowded = F.col(key).eqNullSafe(F.col("_key"))
+    return Split(
+        calm=df.join(names, is_crowded, "left_anti"),
+        crowded=df.join(names, is_crowded, "left_semi"),
+        limit=limit,
+        crowded_rows=sum(row["n"] for row in found),
+    )

@@ -101,8 +101,13 @@ UNION ALL SELECT 'd-' || CAST(doc_id AS VARCHAR), true, NULL, text FROM document
         "land_parquet": WITH_TICKS + _record("gps"),
         "correlate_five": CORRELATE,
         "correlate_stream": CORRELATE,
+        "correlate_clustered": CORRELATE,
         "landing_counts": counts,
         "fan_out_counts": counts,
+        "publish_log": WITH_RECORDS
+        + _union(
+            "SELECT '{topic}' AS topic, id AS record_key, id, device_id, \"timestamp\", lat, lon FROM {kind}"
+        ),
         "encode_roundtrip": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
         "parse_location": WITH_TICKS + "SELECT event_id, lat, lon FROM ticks",
         "geofence_arrivals": WITH_TICKS + f"SELECT event_id, device_id, event_ts FROM ticks WHERE {ARRIVED}",

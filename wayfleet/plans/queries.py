@@ -7,6 +7,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wayfleet.config import JobConfig
 from wayfleet.operators import codec, quality, trips
@@ -14,9 +15,9 @@ from wayfleet.operators.correlate import correlate
 from wayfleet.operators.dedup import dedup_stream
 from wayfleet.operators.rollup import speed_rollup
 from wayfleet.plans.ticks import payloads, records, ticks, ticks_stream
-from wayfleet.schemas import DEFAULT_TOPICS, KINDS, WATERMARK, schema
+from wayfleet.schemas import DEFAULT_TOPICS, KINDS, schema
 from wayfleet.session import shared_dir, tune
-from wayfleet.sources.landed import read_landed, register
+from wayfleet.sources.landed import cluster_by_tick, read_landed, register
 from wayfleet.streaming.land import land, landing_frame, start_landing
 from wayfleet.streaming.supervise import supervise
 
@@ -29,9 +30,19 @@ def _ntz(df: DataFrame, column: str = "timestamp", name: str | None = None) -> D
     return out.withColumnRenamed(column, name) if name else out
 
 
-def _run(spark: SparkSession, stream: DataFrame, folder: str) -> DataFrame:
-    """Land all of a stream below a folder and return the landed table."""
-    query = land(stream, f"{folder}/out", f"{folder}/checkpoint", available_now=True)
+def _run(spark: SparkSession, stream: DataFrame, folder: str, windows: bool = False) -> DataFrame:
+    """Land all of a stream below a folder and return the landed table.
+
+    Only windows need the extra batch without data that Spark appends to bring out what the last
+    watermark closed; joins and dedup have emitted everything by then.
+    """
+    extra_batch = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(extra_batch)
+    spark.conf.set(extra_batch, str(windows).lower())
+    try:
+        query = land(stream, f"{folder}/out", f"{folder}/checkpoint", available_now=True)
+    finally:
+        spark.conf.set(extra_batch, before)
     supervise(spark, [query])
     return spark.read.schema(stream.schema).parquet(f"{folder}/out")
 
@@ -97,11 +108,15 @@ def correlate_five(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def correlate_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    streams = {
-        kind: df.withWatermark("timestamp", WATERMARK)
-        for kind, df in records(ticks_stream(spark, sf_dir)).items()
-    }
-    return _ntz(_run(spark, correlate(streams), shared_dir(spark)))
+    joined = correlate(records(ticks_stream(spark, sf_dir)))
+    return _ntz(_run(spark, joined, shared_dir(spark)))
+
+
+def correlate_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Correlation of landed tables after they were rewritten in the join-ready layout."""
+    config = _landed_job(spark, sf_dir)
+    names = cluster_by_tick(spark, "wayfleet_clustered", config, buckets=8)
+    return _ntz(correlate({kind: spark.table(name) for kind, name in zip(KINDS, names, strict=True)}))
 
 
 def landing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +131,19 @@ def encode_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fan_out_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.topic_counts(codec.topic_log(ticks(spark, sf_dir), payloads(), DEFAULT_TOPICS))
+    return quality.topic_counts(quality.tag_topics(records(ticks(spark, sf_dir)), DEFAULT_TOPICS))
+
+
+def publish_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a producer would write to the five topics, read back by its common fields."""
+    log = codec.topic_log(ticks(spark, sf_dir), payloads(), DEFAULT_TOPICS)
+    common = StructType(schema("gps").fields[:4])
+    seen = log.select(
+        "topic",
+        F.col("key").cast("string").alias("record_key"),
+        F.from_json(F.col("value").cast("string"), common).alias("record"),
+    )
+    return _ntz(codec.parse_location(seen.select("topic", "record_key", "record.*")))
 
 
 def parse_location(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,7 +176,7 @@ def quality_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reconcile_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    produced = codec.topic_log(ticks(spark, sf_dir), payloads(), DEFAULT_TOPICS)
+    produced = quality.tag_topics(records(ticks(spark, sf_dir)), DEFAULT_TOPICS)
     config = _landed_job(spark, sf_dir)
     landed = {kind: quality.drop_empty(read_landed(spark, config, kind)) for kind in KINDS}
     return quality.reconcile(produced, quality.tag_topics(landed, config.topics))
@@ -157,7 +184,7 @@ def reconcile_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rollup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     gps = records(ticks_stream(spark, sf_dir))["gps"]
-    rolled = _run(spark, speed_rollup(gps), shared_dir(spark))
+    rolled = _run(spark, speed_rollup(gps), shared_dir(spark), windows=True)
     return _ntz(rolled, "window_start").select("window_start", "device_id", "n", "sum_cents")
 
 
@@ -179,9 +206,11 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "land_parquet": land_parquet,
         "correlate_five": correlate_five,
         "correlate_stream": correlate_stream,
+        "correlate_clustered": correlate_clustered,
         "landing_counts": landing_counts,
         "encode_roundtrip": encode_roundtrip,
         "fan_out_counts": fan_out_counts,
+        "publish_log": publish_log,
         "parse_location": parse_location,
         "geofence_arrivals": geofence_arrivals,
         "trip_truncate": trip_truncate,

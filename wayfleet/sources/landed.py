@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wayfleet.config import JobConfig
-from wayfleet.operators.correlate import TICK
+from wayfleet.operators.correlate import TICK, one_per_tick
 from wayfleet.schemas import EXTRA, KINDS, LEAD, schema
 
 
@@ -43,24 +43,30 @@ def register(spark: SparkSession, database: str, config: JobConfig) -> list[str]
 
 
 def cluster_by_tick(spark: SparkSession, database: str, config: JobConfig, buckets: int) -> list[str]:
-    """Rewrite the landed tables bucketed and sorted by ``(device_id, timestamp)``; returns their names.
+    """Rewrite the landed tables bucketed by tick, below ``<root>/by_tick``; returns the table names.
 
-    Correlating the rewritten tables needs no shuffle and no sort, however often it is done. The
-    one-file-per-task output also replaces the many small files of a low-rate stream. NULL keys
-    hash to one bucket, and no join can use them, so they stay in the landed tables.
+    Correlating the rewritten tables needs no shuffle, however often it is done. One file per bucket
+    also replaces the many small files of a low-rate stream. Only what can correlate is rewritten:
+    rows without device or time stay in the landed tables, and copies of a record count once.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     names = []
-    for kind in KINDS:
-        name = f"{database}.{config.topics[kind]}_by_tick"
-        (
-            read_landed(spark, config, kind)
-            .dropna(subset=TICK)
-            .repartition(buckets, *TICK)
-            .write.bucketBy(buckets, *TICK)
-            .sortBy(*TICK)
-            .mode("overwrite")
-            .saveAsTable(name)
-        )
-        names.append(name)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    # With as many partitions as buckets the shuffle that drops copies also forms the buckets.
+    spark.conf.set("spark.sql.shuffle.partitions", str(buckets))
+    try:
+        for kind in KINDS:
+            topic = config.topics[kind]
+            name = f"{database}.{topic}_by_tick"
+            (
+                one_per_tick(read_landed(spark, config, kind))
+                .write.bucketBy(buckets, *TICK)
+                .sortBy(*TICK)
+                .mode("overwrite")
+                .option("path", f"{config.root.rstrip('/')}/by_tick/{topic}")
+                .saveAsTable(name)
+            )
+            names.append(name)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
     return names

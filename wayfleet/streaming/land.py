@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wayfleet.config import JobConfig
 from wayfleet.operators.codec import decode, decode_flagged
-from wayfleet.operators.dedup import dedup_stream
+from wayfleet.operators.dedup import RECORD, dedup_stream
 from wayfleet.schemas import KINDS, schema
 from wayfleet.sources.kafka import topic_stream
 
@@ -56,7 +56,7 @@ def landing_frame(log: DataFrame, kind: str, config: JobConfig) -> tuple[DataFra
     else:
         records, folders = decode(log, schema(kind)), ()
     if config.dedup:
-        records = dedup_stream(records, delay=config.watermark, also=("raw",) if config.quarantine else ())
+        records = dedup_stream(records, RECORD + (("raw",) if config.quarantine else ()), delay=config.watermark)
     else:
         records = records.withWatermark("timestamp", config.watermark)
     if config.partition_by_date:
