@@ -12,7 +12,7 @@ from wayfleet.schemas import DEFAULT_TOPICS, KINDS, schema
 from wayfleet.session import shared_dir
 from wayfleet.sources import kafka
 from wayfleet.sources.landed import cluster_by_tick, landed_folders, read_landed, register
-from wayfleet.streaming.job import parse
+from wayfleet.streaming.job import main, parse
 from wayfleet.streaming.land import start_landing
 from wayfleet.streaming.supervise import supervise
 
@@ -121,11 +121,30 @@ def test_settings_from_the_environment():
 
 
 def test_command_line():
-    config = parse(["--root", "/r", "--brokers", "k:9", "--trigger-interval", "1 minute", "--dedup"])
+    config, once = parse(["--root", "/r", "--brokers", "k:9", "--trigger-interval", "1 minute", "--dedup"])
+    assert not once
     assert (config.root, config.brokers, config.trigger_interval) == ("/r", "k:9", "1 minute")
     assert config.dedup and not config.quarantine and config.max_offsets_per_trigger is None
 
 
+def test_main_lands_the_topics(spark, tmp_path, monkeypatch):
+    encoded = {k: encode(df) for k, df in records(ticks_stream(spark, SF)).items()}
+    monkeypatch.setattr("wayfleet.streaming.land.topic_stream", lambda _, config, kind: encoded[kind])
+    for _ in range(2):
+        main(["--root", str(tmp_path), "--available-now"])
+    config = JobConfig(root=str(tmp_path))
+    assert [read_landed(spark, config, kind).count() for kind in KINDS] == [1000] * 5
+
+
+def test_partitioned_layouts_register(spark, tmp_path):
+    config = JobConfig(root=str(tmp_path), partition_by_date=True, quarantine=True)
+    logs = {k: encode(df) for k, df in records(ticks_stream(spark, SF)).items()}
+    supervise(spark, start_landing(spark, config, logs, available_now=True))
+    assert len(register(spark, "reg4", config)) == 5
+    days = spark.sql("SELECT event_date, count(*) AS n FROM reg4.gps_data WHERE verdict = 'good' GROUP BY event_date")
+    assert sum(r["n"] for r in days.collect()) == 1000 and days.count() > 1
+
+
 def test_kafka_options():
     options = kafka.source_options(JobConfig(root="/r", brokers="k:9"), "traffic")
     assert options == {"kafka.bootstrap.servers": "k:9", "subscribe": "traffic_data", "startingOffsets": "earliest"}

@@ -10,7 +10,7 @@ from wayfleet.streaming.land import start_landing
 from wayfleet.streaming.supervise import supervise
 
 
-def parse(argv: list[str] | None = None) -> JobConfig:
+def parse(argv: list[str] | None = None) -> tuple[JobConfig, bool]:
     parser = argparse.ArgumentParser(description="Land the five telemetry topics as Parquet")
     parser.add_argument("--root", required=True, help="folder for output and checkpoints")
     parser.add_argument("--brokers", help="Kafka bootstrap servers (default: KAFKA_BOOTSTRAP_SERVER)")
@@ -20,11 +20,13 @@ def parse(argv: list[str] | None = None) -> JobConfig:
     parser.add_argument("--partition-by-date", action="store_true", help="add event_date folders")
     parser.add_argument("--quarantine", action="store_true", help="keep the text of undecodable values, in verdict=bad folders")
     parser.add_argument("--dedup", action="store_true", help="drop re-delivered records")
+    parser.add_argument("--available-now", action="store_true", help="land what the topics hold and end")
     given = {k: v for k, v in vars(parser.parse_args(argv)).items() if v is not None}
-    return JobConfig.from_env(**given)
+    available_now = given.pop("available_now")
+    return JobConfig.from_env(**given), available_now
 
 
 def main(argv: list[str] | None = None) -> None:
-    config = parse(argv)
+    config, available_now = parse(argv)
     spark = build_session()
-    supervise(spark, start_landing(spark, config))
+    supervise(spark, start_landing(spark, config, available_now=available_now))
