@@ -80,9 +80,11 @@ def test_clustered_tables_correlate_without_a_shuffle(spark, same, landed):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = correlate(tables)
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("SortMergeJoin") == 4 and "Exchange" not in plan
+        for unique in (False, True):
+            joined = correlate(tables, unique=unique)
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("SortMergeJoin") == 4 and "Exchange" not in plan
+        assert "Aggregate" not in plan
         want = correlate(records(ticks(spark, SF)))
         assert joined.count() == 1000
         assert same(want, joined)

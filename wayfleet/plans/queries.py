@@ -116,7 +116,8 @@ def correlate_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Correlation of landed tables after they were rewritten in the join-ready layout."""
     config = _landed_job(spark, sf_dir)
     names = cluster_by_tick(spark, "wayfleet_clustered", config, buckets=8)
-    return _ntz(correlate({kind: spark.table(name) for kind, name in zip(KINDS, names, strict=True)}))
+    tables = {kind: spark.table(name) for kind, name in zip(KINDS, names, strict=True)}
+    return _ntz(correlate(tables, unique=True))
 
 
 def landing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

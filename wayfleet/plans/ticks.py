@@ -16,6 +16,7 @@ from wayfleet.schemas import (
     SNAPSHOT,
     WEATHER_CONDITIONS,
 )
+from wayfleet.sources.replay import table_stream
 
 
 def as_ticks(events: DataFrame) -> DataFrame:
@@ -36,9 +37,8 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ticks_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    return as_ticks(stream.parquet(sf_dir))
+    path = f"{sf_dir}/events.parquet"
+    return as_ticks(table_stream(spark, path, spark.read.parquet(path).schema))
 
 
 def _item(values: list[str], position: Column) -> Column:

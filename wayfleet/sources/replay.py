@@ -11,6 +11,9 @@ def text_log(spark: SparkSession, folder: str, files_per_batch: int = 1) -> Data
     return spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder)
 
 
-def table_stream(spark: SparkSession, path: str, schema: StructType, glob: str = "*.parquet") -> DataFrame:
-    """A Parquet folder as a stream; without a rate limit what is there now is one batch."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(path)
+def table_stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A Parquet folder or file as a stream; without a rate limit what is there now is one batch.
+
+    The file source takes no single file, but it takes a pattern that matches one.
+    """
+    return spark.readStream.schema(schema).parquet(f"{path}*")
