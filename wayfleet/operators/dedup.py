@@ -26,9 +26,12 @@ def dedup_stream(
 ) -> DataFrame:
     """One row per key on a stream that may deliver a record more than once.
 
-    ``records`` has no watermark yet. ``keys`` holds the event time: copies of a record carry its timestamp, the watermark then clears
-    old keys so that the state stays bounded, and a copy that comes after its key was cleared is
-    itself late and dropped. NULLs count as one key.
+    ``records`` has no watermark yet. ``keys`` holds the event time: copies of a record carry its
+    timestamp, the watermark then clears old keys so that the state stays bounded, and a copy that
+    comes after its key was cleared is itself late and dropped.
+
+    Rows without event time (undecodable ones) have nothing to clear them by, so they are forgotten
+    when the watermark next moves: copies within a batch are dropped, later ones are kept.
 
     The stateful operator shuffles by key without combining first, so copies are already dropped
     inside each Arrow batch on the map side; a key holding a large share of the stream reaches its
@@ -36,7 +39,7 @@ def dedup_stream(
     kept never changes what the watermark lets through.
     """
     combined = records.mapInArrow(_drop_copies_in_batch(list(keys)), records.schema)
-    return combined.withWatermark(time_col, delay).dropDuplicates(list(keys))
+    return combined.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
 def dedup_table(records: DataFrame, keys: tuple[str, ...] = RECORD) -> DataFrame:

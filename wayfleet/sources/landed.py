@@ -39,7 +39,7 @@ def register(spark: SparkSession, database: str, config: JobConfig) -> list[str]
         columns = f"({LEAD}, {EXTRA[kinds[name]]})" if plain and name in kinds else ""
         spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
         spark.sql(f"CREATE TABLE `{database}`.`{name}` {columns} USING parquet LOCATION '{where}'")
-        if any(column.isPartition for column in spark.catalog.listColumns(name, database)):
+        if any(column.isPartition for column in spark.catalog.listColumns(f"{database}.{name}")):
             spark.catalog.recoverPartitions(f"{database}.{name}")
     return list(folders)
 
