@@ -10,9 +10,11 @@ from wayfleet.operators import codec
 from wayfleet.operators.correlate import CARRIED, correlate
 from wayfleet.operators.dedup import dedup_stream, dedup_table
 from wayfleet.operators.rollup import speed_rollup
-from wayfleet.schemas import KINDS, schema
+from wayfleet.operators.trips import truncate_trips
+from wayfleet.schemas import DESTINATION, KINDS, schema
 from wayfleet.sources.landed import read_landed
 from wayfleet.sources.replay import text_log
+from wayfleet.streaming.live_trips import truncate_stream
 from wayfleet.streaming.land import land, landing_frame, start_landing
 from wayfleet.streaming.supervise import supervise
 
@@ -94,6 +96,35 @@ def test_rollup_emits_closed_windows_only(spark, batches, tmp_path):
     ]
 
 
+def trip(id_, second, device="d", at=(41.0, -73.0)):
+    clock = f"10:{second // 60:02d}:{second % 60:02d}"
+    record = json.loads(gps(id_, clock, device))
+    return json.dumps({**record, "location": list(at)})
+
+
+def test_live_truncation_across_batches(spark, batches, tmp_path):
+    files = (
+        [trip("a2", 80), trip("a1", 40), *(trip(f"h{i:03d}", i, "hot") for i in range(150))],
+        [trip("a4", 160, at=DESTINATION), trip("a3", 120), trip("a5", 200), trip("n", 1, "new", at=DESTINATION)],
+        [trip("a6", 240), *(trip(f"h{i:03d}", i, "hot") for i in range(150, 260)), trip("n2", 2, "new")],
+    )
+    ticks = codec.parse_location(codec.decode(text_log(spark, batches(*files)), schema("gps")))
+    got = run(spark, truncate_stream(ticks), tmp_path)
+    numbers = {r["id"]: r["rn"] for r in got.collect()}
+    hot = {f"h{i:03d}": i + 1 for i in range(200)}
+    assert numbers == {"a1": 1, "a2": 2, "a3": 3, **hot}
+
+
+def test_live_truncation_equals_the_table_form(spark, same, batches, tmp_path):
+    lines = [trip(f"x{i:04d}", i * 7 % 3000, f"d{i % 5 % 4}", DESTINATION if i % 401 == 400 else (41.0, -73.0))
+             for i in range(1500)]
+    lines.append(trip("nowhere", 5, "d1", (None, None)))
+    log = text_log(spark, batches(lines))
+    live = run(spark, truncate_stream(codec.parse_location(codec.decode(log, schema("gps")))), tmp_path)
+    table = codec.parse_location(codec.decode(spark.read.text(str(tmp_path / "in")), schema("gps")))
+    assert same(truncate_trips(table), live)
+
+
 def sibling_logs(spark, batches):
     """Five topics, three files each, five ticks per file."""
     logs = {}

@@ -71,6 +71,13 @@ FROM vehicle v JOIN gps g USING (device_id, "timestamp") JOIN traffic t USING (d
      JOIN weather w USING (device_id, "timestamp") JOIN emergency e USING (device_id, "timestamp")"""
 
 
+TRUNCATE = WITH_TICKS + f"""
+SELECT event_id, device_id, rn FROM (
+  SELECT event_id, device_id, row_number() OVER {BY_DEVICE} AS rn,
+         max(CASE WHEN {ARRIVED} THEN 1 ELSE 0 END) OVER {BY_DEVICE} AS arrived
+  FROM ticks) WHERE rn <= 200 AND arrived = 0"""
+
+
 def _union(select: str) -> str:
     return " UNION ALL ".join(select.format(kind=kind, topic=DEFAULT_TOPICS[kind]) for kind in KINDS)
 
@@ -111,11 +118,8 @@ UNION ALL SELECT 'd-' || CAST(doc_id AS VARCHAR), true, NULL, text FROM document
         "encode_roundtrip": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
         "parse_location": WITH_TICKS + "SELECT event_id, lat, lon FROM ticks",
         "geofence_arrivals": WITH_TICKS + f"SELECT event_id, device_id, event_ts FROM ticks WHERE {ARRIVED}",
-        "trip_truncate": WITH_TICKS + f"""
-SELECT event_id, device_id, rn FROM (
-  SELECT event_id, device_id, row_number() OVER {BY_DEVICE} AS rn,
-         max(CASE WHEN {ARRIVED} THEN 1 ELSE 0 END) OVER {BY_DEVICE} AS arrived
-  FROM ticks) WHERE rn <= 200 AND arrived = 0""",
+        "trip_truncate": TRUNCATE,
+        "trip_truncate_stream": TRUNCATE,
         "trip_legs": WITH_TICKS + f"""
 SELECT event_id, dlat, dlon,
        CASE WHEN lat < 42.3396E0 THEN 1 ELSE -1 END AS lat_dir,

@@ -19,6 +19,7 @@ from wayfleet.schemas import DEFAULT_TOPICS, KINDS, schema
 from wayfleet.session import shared_dir, tune
 from wayfleet.sources.landed import cluster_by_tick, read_landed, register
 from wayfleet.streaming.land import land, landing_frame, start_landing
+from wayfleet.streaming.live_trips import truncate_stream
 from wayfleet.streaming.supervise import supervise
 
 ORDER = ("timestamp", "event_id")
@@ -162,6 +163,12 @@ def trip_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips.truncate_trips(rows, order=ORDER).select("event_id", "device_id", "rn")
 
 
+def trip_truncate_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ticks_stream(spark, sf_dir).select(*TRIP_COLUMNS)
+    kept = truncate_stream(rows, order=ORDER).select("event_id", "device_id", "rn")
+    return _run(spark, kept, shared_dir(spark))
+
+
 def trip_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ticks(spark, sf_dir).select(*TRIP_COLUMNS)
     return trips.legs(rows, order=ORDER).select("event_id", "dlat", "dlon", "lat_dir", "lon_dir", "step_ok")
@@ -215,6 +222,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "parse_location": parse_location,
         "geofence_arrivals": geofence_arrivals,
         "trip_truncate": trip_truncate,
+        "trip_truncate_stream": trip_truncate_stream,
         "trip_legs": trip_legs,
         "gap_audit": gap_audit,
         "quality_violations": quality_violations,
