@@ -26,6 +26,12 @@ def landed_folders(spark: SparkSession, output_root: str) -> dict[str, str]:
     return {name: where for name, where in sorted(folders.items()) if name[0] not in "_."}
 
 
+def _create_database(spark: SparkSession, database: str, config: JobConfig) -> None:
+    """Its folder goes below the shared root, not into a warehouse folder of the driver's machine."""
+    where = f"{config.root.rstrip('/')}/catalog/{database}.db"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{where}'")
+
+
 def register(spark: SparkSession, database: str, config: JobConfig) -> list[str]:
     """Create the database and one external table per landed folder; returns the table names.
 
@@ -33,7 +39,7 @@ def register(spark: SparkSession, database: str, config: JobConfig) -> list[str]
     """
     kinds = {config.topics[kind]: kind for kind in KINDS}
     plain = not (config.partition_by_date or config.quarantine)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    _create_database(spark, database, config)
     folders = landed_folders(spark, f"{config.root.rstrip('/')}/output")
     for name, where in folders.items():
         columns = f"({LEAD}, {EXTRA[kinds[name]]})" if plain and name in kinds else ""
@@ -51,7 +57,7 @@ def cluster_by_tick(spark: SparkSession, database: str, config: JobConfig, bucke
     also replaces the many small files of a low-rate stream. Only what can correlate is rewritten:
     rows without device or time stay in the landed tables, and copies of a record count once.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    _create_database(spark, database, config)
     names = []
     partitions = spark.conf.get("spark.sql.shuffle.partitions")
     # With as many partitions as buckets the shuffle that drops copies also forms the buckets.
