@@ -16,7 +16,7 @@ from wayfleet.operators.dedup import dedup_stream
 from wayfleet.operators.rollup import speed_rollup
 from wayfleet.plans.ticks import payloads, records, ticks, ticks_stream
 from wayfleet.schemas import DEFAULT_TOPICS, KINDS, schema
-from wayfleet.session import shared_dir, tune
+from wayfleet.session import settings, shared_dir, state_partitions, tune
 from wayfleet.sources.landed import cluster_by_tick, read_landed, register
 from wayfleet.streaming.land import land, landing_frame, start_landing
 from wayfleet.streaming.live_trips import truncate_stream
@@ -37,13 +37,12 @@ def _run(spark: SparkSession, stream: DataFrame, folder: str, windows: bool = Fa
     Only windows need the extra batch without data that Spark appends to bring out what the last
     watermark closed; joins and dedup have emitted everything by then.
     """
-    extra_batch = "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = spark.conf.get(extra_batch)
-    spark.conf.set(extra_batch, str(windows).lower())
-    try:
+    at_start = {
+        "spark.sql.streaming.noDataMicroBatches.enabled": str(windows).lower(),
+        "spark.sql.shuffle.partitions": str(state_partitions(spark)),
+    }
+    with settings(spark, at_start):
         query = land(stream, f"{folder}/out", f"{folder}/checkpoint", available_now=True)
-    finally:
-        spark.conf.set(extra_batch, before)
     supervise(spark, [query])
     return spark.read.schema(stream.schema).parquet(f"{folder}/out")
 

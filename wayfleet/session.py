@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -59,6 +61,28 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, changed: Mapping[str, str]) -> Iterator[None]:
+    """Change session settings for the length of a block."""
+    before = {key: spark.conf.get(key) for key in changed}
+    for key, value in changed.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def state_partitions(spark: SparkSession) -> int:
+    """Shuffle partitions for a stateful stream: the session's, but no more than two per core.
+
+    Every state store has a fixed cost per partition and batch, which a small master would pay for
+    partitions it cannot run at the same time anyway.
+    """
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder below ``spark.checkpoint.dir``.
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from wayfleet.config import JobConfig
 from wayfleet.operators.correlate import TICK, one_per_tick
 from wayfleet.schemas import EXTRA, KINDS, LEAD, schema
+from wayfleet.session import settings
 
 
 def read_landed(spark: SparkSession, config: JobConfig, kind: str) -> DataFrame:
@@ -59,10 +60,8 @@ def cluster_by_tick(spark: SparkSession, database: str, config: JobConfig, bucke
     """
     _create_database(spark, database, config)
     names = []
-    partitions = spark.conf.get("spark.sql.shuffle.partitions")
     # With as many partitions as buckets the shuffle that drops copies also forms the buckets.
-    spark.conf.set("spark.sql.shuffle.partitions", str(buckets))
-    try:
+    with settings(spark, {"spark.sql.shuffle.partitions": str(buckets)}):
         for kind in KINDS:
             topic = config.topics[kind]
             name = f"{database}.{topic}_by_tick"
@@ -75,6 +74,4 @@ def cluster_by_tick(spark: SparkSession, database: str, config: JobConfig, bucke
                 .saveAsTable(name)
             )
             names.append(name)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", partitions)
     return names
