@@ -49,7 +49,7 @@ def gapless(frame: DataFrame, group: str, order: Sequence[str], name: str, rows:
     A group is dealt into pieces by the hash of the order columns; each piece is numbered on its own
     and starts where the pieces before it end. ``rows`` is the mean size of a piece.
     """
-    pieces = max(16, -(-frame.count() // rows))
+    pieces = max(64, -(-frame.count() // rows))
     dealt = frame.withColumn("_piece", F.pmod(F.xxhash64(*order), F.lit(pieces)))
     sizes = dealt.groupBy(group, "_piece").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)

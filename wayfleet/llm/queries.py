@@ -7,10 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfleet.llm import bpe, mixing, pii, quality_model, topk
+from wayfleet.llm import bpe, dart_minhash, line_dedup, mixing, pii, quality_model, quality_rules, sharding, topk, url_trust
 from wayfleet.llm.common import table
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    placed = sharding.shard(table(spark, sf_dir, "documents"), 24)
+    none = F.lit(None).cast("int").alias("grown_shard")
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), "slot", none)
+
+
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near copies of every document."""
+    return dart_minhash.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
+
+
 def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best rows by inner product for every twentieth vector."""
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
@@ -24,6 +36,17 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.tokenize(table(spark, sf_dir, "documents").select("doc_id", "text"), ids=False)
 
 
+def op5_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict for every page."""
+    judged = url_trust.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "trust", "distrust")
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that every document loses to an earlier equal or near line, and its links to different lines."""
+    return line_dedup.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words each document gives to the mix."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -43,7 +66,17 @@ def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts and verdict of every document; documents labelled good are the trusted target."""
+    trusted = table(spark, sf_dir, "labels").where("quality = 1")
+    judged = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), trusted)
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr", "kept")
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of the operators by name."""
-    own = [op3_top_k, op4_byte_bpe, op7_mixing, op8_personal_data, op9_quality_model]
+    own = [
+        op1_sharding, op2_near_dedup, op3_top_k, op4_byte_bpe, op5_url_trust, op6_line_dedup, op7_mixing,
+        op8_personal_data, op9_quality_model, op10_quality_rules,
+    ]
     return {query.__name__: query for query in own}
