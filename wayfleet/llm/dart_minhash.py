@@ -14,6 +14,8 @@ from wayfleet.llm.common import components, cut, filled, without
 
 #: Words of a shingle, least weighted Jaccard similarity, bands and coordinates of a band.
 WIDTH, SIMILARITY, BANDS, ROWS = 5, 0.8, 20, 5
+#: Shingles signed at once.
+ITEMS = 200_000
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP, _WORD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x100000001B3)
 
@@ -47,61 +49,87 @@ def shingles(text: str, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(out, return_counts=True)
 
 
-def signature(items: np.ndarray, weight: np.ndarray, size: int) -> np.ndarray:
-    """DartMinHash: ``size`` numbers, of which two weighted sets share each with the probability of their weighted Jaccard similarity.
+def signatures(sets: list[tuple[np.ndarray, np.ndarray]], size: int) -> np.ndarray:
+    """DartMinHash of weighted sets, a row of ``size`` numbers each: two sets share each number with the
+    probability of their weighted Jaccard similarity. Rows of empty sets are zeros.
 
     The weight axis of an item is cut into regions [2^v - 1, 2^(v+1) - 1). Darts hit a region in rank
     order as a Poisson stream of rate 2^v that depends on item and region only; each has a hashed weight
     and coordinate, and counts if its weight lies below the item's. The earliest dart of a coordinate is its
-    number. Ranks are thrown up to a limit that gives about ``size ln size + 2 size`` darts; while a
-    coordinate is empty, the limit doubles and every stream goes on.
+    number. Ranks are thrown up to a limit that gives a set about ``size ln size + 2 size`` darts; while a
+    coordinate of a set is empty, its limit doubles and its streams go on.
     """
-    out, rank = np.zeros(size, np.uint64), np.full(size, np.inf)
-    total = float(weight.sum())
-    if not total:
-        return out
-    limit = (size * np.log(size) + 2 * size) / total
-    streams = []
-    for v in range(int(np.log2(weight.max() + 1)) + 1):
-        if 2**v - 1 < weight.max():
-            inside = weight > 2**v - 1
+    out, rank = np.zeros(len(sets) * size, np.uint64), np.full(len(sets) * size, np.inf)
+    total = np.array([float(w.sum()) for _, w in sets])
+    limit = (size * np.log(size) + 2 * size) / np.maximum(total, 1)
+    owner = np.repeat(np.arange(len(sets)), [len(i) for i, _ in sets])
+    items = np.concatenate([i for i, _ in sets]) if sets else np.empty(0, np.uint64)
+    weight = np.concatenate([w for _, w in sets]).astype(float) if sets else np.empty(0)
+    key, low, high, own, doc = [], [], [], [], []
+    v = 0
+    while (inside := weight > 2**v - 1).any():
+        with np.errstate(over="ignore"):
+            key.append(mixed(items[inside] + _STEP * np.uint64(v + 1)))
+        low.append(np.full(len(key[-1]), 2.0**v - 1))
+        high.append(np.full(len(key[-1]), 2.0**v))
+        own.append(weight[inside])
+        doc.append(owner[inside])
+        v += 1
+    if not key:
+        return out.reshape(len(sets), size)
+    key, low, high, own, doc = (np.concatenate(x) for x in (key, low, high, own, doc))
+    at, turn = np.zeros(len(key)), np.zeros(len(key), np.uint64)
+    open_ = np.arange(len(key))
+    while open_.size:
+        live, slots, ranks, darts = open_, [], [], []
+        while live.size:
             with np.errstate(over="ignore"):
-                key = mixed(items[inside] + _STEP * np.uint64(v + 1))
-            streams.append([v, key, weight[inside].astype(float), np.zeros(int(inside.sum())), np.zeros(int(inside.sum()), np.uint64), None])
-    while True:
-        for stream in streams:
-            v, key, own, at, turn, _ = stream
-            live = np.arange(len(key))
-            while live.size:
-                with np.errstate(over="ignore"):
-                    draw = mixed(key[live] + (turn[live] + np.uint64(1)) * _STEP)
-                    dart = mixed(draw + _MIX1)
-                reached = at[live] - np.log(uniform(draw)) / 2.0**v
-                hit = reached <= limit
-                live, reached, dart = live[hit], reached[hit], dart[hit]
-                at[live] = reached
-                turn[live] += np.uint64(1)
-                kept = (2.0**v - 1 + uniform(mixed(dart + _MIX2)) * 2.0**v) < own[live]
-                coordinate = (dart[kept] % np.uint64(size)).astype(np.int64)
-                for c, r, d in zip(coordinate.tolist(), reached[kept].tolist(), dart[kept].tolist(), strict=True):
-                    if r < rank[c]:
-                        rank[c], out[c] = r, d
-        if np.isfinite(rank).all():
-            return out
-        limit *= 2
-
-
-def band_keys(text: str, bands: int = BANDS, rows: int = ROWS) -> list[int]:
-    """One 64-bit key for each band of the signature; none for texts too short to have a full window."""
-    items, weight = shingles(text)
-    if int(weight.sum()) < 2 and len(text.split()) < WIDTH:
-        return []
-    parts = signature(items, weight, bands * rows).reshape(bands, rows)
-    key = np.arange(bands, dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        for i in range(rows):
-            key = mixed(key * _WORD + parts[:, i] + _STEP)
-    return key.view(np.int64).tolist()
+                draw = mixed(key[live] + (turn[live] + np.uint64(1)) * _STEP)
+            reached = at[live] - np.log(uniform(draw)) / high[live]
+            hit = reached <= limit[doc[live]]
+            live, reached, draw = live[hit], reached[hit], draw[hit]
+            at[live] = reached
+            turn[live] += np.uint64(1)
+            with np.errstate(over="ignore"):
+                dart = mixed(draw + _MIX1)
+                kept = low[live] + uniform(mixed(dart + _MIX2)) * high[live] < own[live]
+            slots.append(doc[live[kept]] * size + (dart[kept] % np.uint64(size)).astype(np.int64))
+            ranks.append(reached[kept])
+            darts.append(dart[kept])
+        slot, when, dart = np.concatenate(slots), np.concatenate(ranks), np.concatenate(darts)
+        order = np.lexsort((when, slot))
+        slot, when, dart = slot[order], when[order], dart[order]
+        first = np.flatnonzero(np.diff(slot, prepend=-1))
+        slot, when, dart = slot[first], when[first], dart[first]
+        sooner = when < rank[slot]
+        rank[slot[sooner]], out[slot[sooner]] = when[sooner], dart[sooner]
+        missing = ~np.isfinite(rank).reshape(len(sets), size).all(axis=1)
+        limit[missing] *= 2
+        open_ = np.flatnonzero(missing[doc])
+    return out.reshape(len(sets), size)
+
+
+def band_keys(texts: list[str], bands: int = BANDS, rows: int = ROWS) -> list[list[int]]:
+    """For each text one 64-bit key for each band of its signature; none for texts too short to have a full window."""
+    out: list[list[int]] = [[] for _ in texts]
+    start = 0
+    while start < len(texts):
+        sets, where, items = [], [], 0
+        while start < len(texts) and items < ITEMS:
+            one = shingles(texts[start])
+            if len(texts[start].split(None, WIDTH)) >= WIDTH:
+                sets.append(one)
+                where.append(start)
+                items += len(one[0])
+            start += 1
+        parts = signatures(sets, bands * rows).reshape(len(sets), bands, rows)
+        key = np.tile(np.arange(bands, dtype=np.uint64), (len(sets), 1))
+        with np.errstate(over="ignore"):
+            for i in range(rows):
+                key = mixed(key * _WORD + parts[:, :, i] + _STEP)
+        for i, row in zip(where, key.view(np.int64).tolist(), strict=True):
+            out[i] = row
+    return out
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -118,7 +146,7 @@ def sign(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [band_keys(t) for t in batch.column("text").to_pylist()]
+            keys = band_keys(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("node"), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "node", "bands"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -151,47 +179,62 @@ def verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def link(signed: DataFrame, docs: DataFrame, least: float, rounds: int = 3) -> DataFrame:
+def shared_weight(texts: DataFrame) -> DataFrame:
+    """For each text ``node, size, shared``: the weight of its shingles, and of those that any other text here has too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, text in zip(batch.column("node").to_pylist(), batch.column("text"), strict=True):
+                items, weight = shingles(text.as_py())
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(items), node)), pa.array(items.view(np.int64)), pa.array(weight.astype(np.int64))], ["node", "item", "w"])
+
+    rows = texts.mapInArrow(run, "node long, item long, w long")
+    by_item = rows.groupBy("item").agg(F.min("node").alias("node"), F.max("node").alias("most"), F.sum("w").alias("w"))
+    alone = by_item.where("node = most").groupBy("node").agg(F.sum("w").alias("alone"))
+    sizes = rows.groupBy("node").agg(F.sum("w").alias("size"))
+    return sizes.join(alone, "node", "left").select("node", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("shared"))
+
+
+def link(signed: DataFrame, docs: DataFrame, least: float) -> DataFrame:
     """Verified links between different texts, enough to join every class: ``(a, b)`` by node.
 
-    Texts that share a band key are candidates. In each round every text of a bucket is compared with
-    one leader (another one each round), so a bucket of any size makes one pair per text. Buckets whose texts
-    are still in different classes after that are finished exactly: all their pairs across classes that
-    have not been compared yet.
+    Texts that share a band key are candidates. First every text of a bucket is compared with one leader,
+    the text whose buckets are fullest, so a bucket of any size makes one pair per text. Buckets whose
+    texts are in different classes after that are finished exactly: all their pairs across classes, but for
+    those that cannot be similar. What two texts share lies within what each shares with any other text of
+    these buckets, so with sizes s and t and shared weights u and v the similarity is at most m / (s + t - m)
+    for m = min(u, v). The variants of a text differ from each other by words of their own, and this bound
+    tells them apart without pairing them.
     """
     nodes = signed.groupBy("node").agg(F.first("bands").alias("bands"), F.min("doc_id").alias("doc_id"))
     keyed = nodes.select("node", F.explode("bands").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = cut(keyed.join(shared, "key"))
     wanted = members.select("node").distinct().join(nodes.select("node", "doc_id"), "node")
     found = docs.select(F.col("doc_id").alias("_id"), filled(F.col("text")).alias("text")).withColumn("_node", F.xxhash64("text"))
     texts = found.join(wanted, (F.col("_node") == F.col("node")) & F.col("_id").eqNullSafe(F.col("doc_id")))
     texts = cut(texts.groupBy("node").agg(F.first("text").alias("text")))
-    links = tested = None
-    open_ = members.withColumn("root", F.col("node"))
-    for turn in range(rounds + 1):
-        if turn < rounds:
-            draw = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node")
-            leaders = open_.groupBy("key").agg(F.min(draw).alias("m")).select("key", F.col("m.node").alias("a"))
-            pairs = open_.join(leaders, "key").join(open_.select("node", F.col("root").alias("a_root")).distinct().withColumnRenamed("node", "a"), "a")
-            pairs = pairs.where("root <> a_root").select("a", F.col("node").alias("b"))
-        else:
-            other = open_.select("key", F.col("node").alias("b"), F.col("root").alias("b_root"))
-            pairs = open_.withColumnRenamed("node", "a").join(other, "key").where("root < b_root").select("a", "b")
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = cut(pairs.join(tested, ["a", "b"], "left_anti") if tested is not None else pairs)
-        tested = pairs if tested is None else tested.union(pairs)
-        fresh = cut(verify(pairs, texts, least))
-        links = fresh if links is None else cut(links.union(fresh))
-        if turn == rounds:
-            break
-        roots = components(links)
-        placed = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-        mixed_ = placed.groupBy("key").agg((F.min("root") < F.max("root")).alias("more")).where("more").select("key")
-        open_ = cut(placed.join(mixed_, "key"))
-        if not open_.take(1):
-            break
-    return links
+
+    fullest = members.groupBy("node").agg(F.sum("n").alias("full"))
+    ranked = cut(members.join(fullest, "node"))
+    leaders = ranked.groupBy("key").agg(F.max(F.struct("full", "node")).alias("m")).select("key", F.col("m.node").alias("a"))
+    pairs = ranked.join(leaders, "key").where("node <> a")
+    pairs = cut(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
+    links = cut(verify(pairs, texts, least))
+
+    placed = members.join(components(links), "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    open_keys = placed.groupBy("key").agg((F.min("root") < F.max("root")).alias("more")).where("more").select("key")
+    open_ = cut(placed.join(open_keys, "key"))
+    bounds = cut(shared_weight(texts.join(open_.select("node").distinct(), "node")))
+    able = bounds.where(F.col("shared") >= F.lit(least - 1e-9) * F.col("size"))
+    one = cut(open_.join(able, "node"))
+    other = one.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "root", "size", "shared")])
+    m = F.least("shared", "shared_b")
+    near = m >= F.lit(least - 1e-9) * (F.col("size") + F.col("size_b") - m)
+    rest = one.join(other, (one["key"] == other["key"]) & (F.col("root") < F.col("root_b")) & near)
+    rest = rest.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b")).distinct()
+    rest = cut(rest.join(pairs, ["a", "b"], "left_anti"))
+    return links.union(cut(verify(rest, texts, least)))
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
