@@ -7,15 +7,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfleet.llm.common import components, cut, filled, without
 
 #: Words of a shingle, least weighted Jaccard similarity, bands and coordinates of a band.
 WIDTH, SIMILARITY, BANDS, ROWS = 5, 0.8, 20, 5
-#: Shingles signed at once.
-ITEMS = 200_000
+#: Shingles signed at once, and parts of the hash range in which overlaps are bounded.
+ITEMS, PARTS = 200_000, 64
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP, _WORD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x100000001B3)
 
@@ -179,20 +179,32 @@ def verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def shared_weight(texts: DataFrame) -> DataFrame:
-    """For each text ``node, size, shared``: the weight of its shingles, and of those that any other text here has too."""
+def shared_parts(texts: DataFrame) -> DataFrame:
+    """For each text ``node, size, parts``: the weight of its shingles, and the weight of those that any other
+    text here has too, in ``PARTS`` parts by hash."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for node, text in zip(batch.column("node").to_pylist(), batch.column("text"), strict=True):
-                items, weight = shingles(text.as_py())
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(items), node)), pa.array(items.view(np.int64)), pa.array(weight.astype(np.int64))], ["node", "item", "w"])
+                found, weight = shingles(text.as_py())
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), node)), pa.array(found.view(np.int64)), pa.array(weight.astype(np.int64))], ["node", "item", "w"])
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = []
+            for text in batch.column("text"):
+                found, weight = shingles(text.as_py())
+                parts.append(np.bincount((found % np.uint64(PARTS)).astype(np.int64), weight, PARTS).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([int(p.sum()) for p in parts], pa.int64()), pa.array(parts, pa.list_(pa.int32()))], ["node", "size", "every"])
 
-    rows = texts.mapInArrow(run, "node long, item long, w long")
+    rows = texts.mapInArrow(items, "node long, item long, w long")
     by_item = rows.groupBy("item").agg(F.min("node").alias("node"), F.max("node").alias("most"), F.sum("w").alias("w"))
-    alone = by_item.where("node = most").groupBy("node").agg(F.sum("w").alias("alone"))
-    sizes = rows.groupBy("node").agg(F.sum("w").alias("size"))
-    return sizes.join(alone, "node", "left").select("node", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("shared"))
+    part = F.col("item").bitwiseAND(F.lit(PARTS - 1)).cast("int")
+    alone = by_item.where("node = most").groupBy("node", part.alias("part")).agg(F.sum("w").alias("w"))
+    alone = alone.groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("part", "w"))).alias("alone"))
+    whole = texts.mapInArrow(sums, "node long, size long, every array<int>").join(alone, "node", "left")
+    left = F.transform("every", lambda c, i: (c - F.coalesce(F.element_at("alone", i), F.lit(0))).cast("int"))
+    return whole.select("node", "size", F.when(F.col("alone").isNull(), F.col("every")).otherwise(left).alias("parts"))
 
 
 def link(signed: DataFrame, docs: DataFrame, least: float) -> DataFrame:
@@ -202,9 +214,9 @@ def link(signed: DataFrame, docs: DataFrame, least: float) -> DataFrame:
     the text whose buckets are fullest, so a bucket of any size makes one pair per text. Buckets whose
     texts are in different classes after that are finished exactly: all their pairs across classes, but for
     those that cannot be similar. What two texts share lies within what each shares with any other text of
-    these buckets, so with sizes s and t and shared weights u and v the similarity is at most m / (s + t - m)
-    for m = min(u, v). The variants of a text differ from each other by words of their own, and this bound
-    tells them apart without pairing them.
+    these buckets, part by part of the hash range, so with sizes s and t the similarity is at most
+    m / (s + t - m), where m sums the lesser weight of each of 64 parts. The variants of a text differ from
+    each other by words of their own, and this bound tells them apart without pairing them.
     """
     nodes = signed.groupBy("node").agg(F.first("bands").alias("bands"), F.min("doc_id").alias("doc_id"))
     keyed = nodes.select("node", F.explode("bands").alias("key"))
@@ -225,14 +237,22 @@ def link(signed: DataFrame, docs: DataFrame, least: float) -> DataFrame:
     placed = members.join(components(links), "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     open_keys = placed.groupBy("key").agg((F.min("root") < F.max("root")).alias("more")).where("more").select("key")
     open_ = cut(placed.join(open_keys, "key"))
-    bounds = cut(shared_weight(texts.join(open_.select("node").distinct(), "node")))
+    bounds = shared_parts(texts.join(open_.select("node").distinct(), "node"))
+    bounds = bounds.withColumn("shared", F.aggregate("parts", F.lit(0), lambda acc, c: acc + c))
     able = bounds.where(F.col("shared") >= F.lit(least - 1e-9) * F.col("size"))
-    one = cut(open_.join(able, "node"))
-    other = one.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "root", "size", "shared")])
-    m = F.least("shared", "shared_b")
-    near = m >= F.lit(least - 1e-9) * (F.col("size") + F.col("size_b") - m)
-    rest = one.join(other, (one["key"] == other["key"]) & (F.col("root") < F.col("root_b")) & near)
-    rest = rest.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b")).distinct()
+    own_keys = open_.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    one = cut(open_.join(able.join(own_keys, "node"), "node"))
+    names = ("key", "node", "root", "size", "shared", "parts", "keys")
+    other = one.select([F.col(c).alias(f"{c}_b") for c in names])
+
+    def enough(overlap: Column) -> Column:
+        return overlap >= F.lit(least - 1e-9) * (F.col("size") + F.col("size_b") - overlap)
+
+    common = F.aggregate(F.zip_with("parts", "parts_b", lambda x, y: F.least(x, y)), F.lit(0), lambda acc, c: acc + c)
+    first = F.array_min(F.array_intersect("keys", "keys_b")) == F.col("key")  # a pair is made in one of its buckets
+    near = (F.col("root") < F.col("root_b")) & enough(F.least("shared", "shared_b")) & first & enough(common)
+    rest = one.join(other, (F.col("key") == F.col("key_b")) & near)
+    rest = rest.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b"))
     rest = cut(rest.join(pairs, ["a", "b"], "left_anti"))
     return links.union(cut(verify(rest, texts, least)))
 
