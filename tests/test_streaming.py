@@ -215,3 +215,45 @@ def test_landing_job_layouts(spark, batches, tmp_path):
     assert landed.filter("verdict = 'good'").count() == 15
     plan = landed.filter("verdict = 'good' AND event_date = date'2024-01-01'")._jdf.queryExecution().executedPlan()
     assert "PartitionFilters: [isnotnull" in plan.toString()
+
+
+class Ended:
+    """A query that is gone; ``fails_later`` fails only after it was first asked whether it is active."""
+
+    def __init__(self, fails_later=False):
+        self.asked, self.fails_later, self.stopped = 0, fails_later, False
+
+    @property
+    def isActive(self):
+        self.asked += 1
+        return self.fails_later and self.asked == 1
+
+    def exception(self):
+        return StreamingQueryException("boom") if self.fails_later and self.asked > 1 else None
+
+    def stop(self):
+        self.stopped = True
+
+
+def test_a_failure_between_two_looks_is_not_swallowed():
+    class Streams:
+        awaitAnyTermination = resetTerminated = staticmethod(lambda: None)
+
+    class Session:
+        streams = Streams
+
+    with pytest.raises(StreamingQueryException):
+        supervise(Session, [Ended(), Ended(fails_later=True)])
+
+
+def test_queries_started_before_one_that_cannot_start_are_stopped(spark, batches, tmp_path):
+    from wayfleet.schemas import KINDS
+    from wayfleet.streaming.land import start_landing
+
+    folder = batches(*THREE)
+    logs = {kind: text_log(spark, folder) for kind in KINDS}
+    logs[KINDS[3] if isinstance(KINDS, (list, tuple)) else list(KINDS)[3]] = spark.range(1).select(F.lit("x").alias("value"))
+    before = {q.id for q in spark.streams.active}
+    with pytest.raises(Exception):
+        start_landing(spark, JobConfig(root=str(tmp_path / "r")), logs)
+    assert {q.id for q in spark.streams.active} <= before

@@ -16,7 +16,7 @@ from wayfleet.operators.dedup import dedup_stream
 from wayfleet.operators.rollup import speed_rollup
 from wayfleet.plans.ticks import payloads, records, ticks, ticks_stream
 from wayfleet.schemas import DEFAULT_TOPICS, KINDS, schema
-from wayfleet.session import settings, shared_dir, state_partitions, tune
+from wayfleet.session import settings, shared_dir, tune
 from wayfleet.sources.landed import cluster_by_tick, read_landed, register
 from wayfleet.streaming.land import land, landing_frame, start_landing
 from wayfleet.streaming.live_trips import truncate_stream
@@ -39,7 +39,6 @@ def _run(spark: SparkSession, stream: DataFrame, folder: str, windows: bool = Fa
     """
     at_start = {
         "spark.sql.streaming.noDataMicroBatches.enabled": str(windows).lower(),
-        "spark.sql.shuffle.partitions": str(state_partitions(spark)),
     }
     with settings(spark, at_start):
         query = land(stream, f"{folder}/out", f"{folder}/checkpoint", available_now=True)

@@ -74,15 +74,6 @@ def settings(spark: SparkSession, changed: Mapping[str, str]) -> Iterator[None]:
             spark.conf.set(key, value)
 
 
-def state_partitions(spark: SparkSession) -> int:
-    """Shuffle partitions for a stateful stream: the session's, but no more than two per core.
-
-    Every state store has a fixed cost per partition and batch, which a small master would pay for
-    partitions it cannot run at the same time anyway.
-    """
-    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
-
-
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder below ``spark.checkpoint.dir``.
 

@@ -70,19 +70,27 @@ def start_landing(
     logs: Mapping[str, DataFrame] | None = None,
     available_now: bool = False,
 ) -> list[StreamingQuery]:
-    """Start one independent landing query per record kind, from Kafka unless ``logs`` are given."""
+    """Start one independent landing query per record kind, from Kafka unless ``logs`` are given.
+
+    When one cannot start, those before it are stopped and its error is raised.
+    """
     started = []
-    for kind in KINDS:
-        log = logs[kind] if logs else topic_stream(spark, config, kind)
-        records, folders = landing_frame(log, kind, config)
-        started.append(
-            land(
-                records,
-                config.output(kind),
-                config.checkpoint(kind),
-                interval=config.trigger_interval,
-                available_now=available_now,
-                partition_by=folders,
+    try:
+        for kind in KINDS:
+            log = logs[kind] if logs else topic_stream(spark, config, kind)
+            records, folders = landing_frame(log, kind, config)
+            started.append(
+                land(
+                    records,
+                    config.output(kind),
+                    config.checkpoint(kind),
+                    interval=config.trigger_interval,
+                    available_now=available_now,
+                    partition_by=folders,
+                )
             )
-        )
+    except BaseException:
+        for query in started:
+            query.stop()
+        raise
     return started

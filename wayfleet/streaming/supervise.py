@@ -22,11 +22,12 @@ def supervise(spark: SparkSession, queries: Sequence[StreamingQuery]) -> None:
             except StreamingQueryException:
                 pass  # may belong to a query of someone else in this session; ours are checked next
             spark.streams.resetTerminated()
-            for query in running:
+            ended = [query for query in running if not query.isActive]
+            for query in ended:  # what fails from here on is still active above, so the next turn sees it
                 error = query.exception()
                 if error is not None:
                     raise error
-            running = [query for query in running if query.isActive]
+            running = [query for query in running if query not in ended]
     finally:
         for query in running:
             query.stop()
