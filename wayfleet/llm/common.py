@@ -11,6 +11,8 @@ from wayfleet.session import ensure_checkpoint_dir
 
 #: A word: code points other than space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Links of a partition while components are sought; few partitions keep the files of many small rounds few.
+LINKS = 200_000
 #: The columns of ``documents``.
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -89,7 +91,8 @@ def components(edges: DataFrame) -> DataFrame:
     with very many neighbours is never gathered in one task.
     """
     links = cut(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct())
-    seen = None
+    seen, known = None, links.count()
+    links = links.coalesce(max(1, -(-known // LINKS)))
     while True:
         both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m")).select("n", F.least("n", "m").alias("m"))
@@ -102,10 +105,10 @@ def components(edges: DataFrame) -> DataFrame:
             F.explode(F.array(F.struct(F.col("m").alias("a"), F.col("b").alias("b")),
                               F.struct(F.col("m").alias("a"), F.col("a").alias("b")))).alias("e")
         ).select("e.a", "e.b").where("a < b").distinct()
-        links = cut(small)
+        links = cut(small.coalesce(max(1, -(-known // LINKS))))
         now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == seen:
             break
-        seen = now
+        seen, known = now, now[0]
     rooted = links.select(F.col("b").alias("node"), F.col("a").alias("root"))
     return rooted.union(links.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
