@@ -14,8 +14,8 @@ from wayfleet.llm.common import components, cut, filled, without
 
 #: Words of a shingle, least weighted Jaccard similarity, bands and coordinates of a band.
 WIDTH, SIMILARITY, BANDS, ROWS = 5, 0.8, 20, 5
-#: Shingles signed at once, and parts of the hash range in which overlaps are bounded.
-ITEMS, PARTS = 200_000, 64
+#: Shingles and darts signed at once, and parts of the hash range in which overlaps are bounded.
+THROWN, PARTS = 200_000, 64
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP, _WORD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x100000001B3)
 
@@ -110,17 +110,21 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], size: int) -> np.ndarr
 
 
 def band_keys(texts: list[str], bands: int = BANDS, rows: int = ROWS) -> list[list[int]]:
-    """For each text one 64-bit key for each band of its signature; none for texts too short to have a full window."""
+    """For each text one 64-bit key for each band of its signature; none for texts too short to have a full window.
+
+    Texts are signed together until their shingles and darts reach ``THROWN``. A text of any length throws about
+    the same number of darts, so for short texts the darts, not the shingles, are what takes memory.
+    """
     out: list[list[int]] = [[] for _ in texts]
+    darts = int(bands * rows * (np.log(bands * rows) + 2))
     start = 0
     while start < len(texts):
-        sets, where, items = [], [], 0
-        while start < len(texts) and items < ITEMS:
-            one = shingles(texts[start])
+        sets, where, thrown = [], [], 0
+        while start < len(texts) and thrown < THROWN:
             if len(texts[start].split(None, WIDTH)) >= WIDTH:
-                sets.append(one)
+                sets.append(shingles(texts[start]))
                 where.append(start)
-                items += len(one[0])
+                thrown += len(sets[-1][0]) + darts
             start += 1
         parts = signatures(sets, bands * rows).reshape(len(sets), bands, rows)
         key = np.tile(np.arange(bands, dtype=np.uint64), (len(sets), 1))
