@@ -18,7 +18,7 @@ from wayfleet.llm.common import without
 #: No pair, and the bits of a token id within a pair.
 NONE, BITS = np.int32(2**31 - 1), 20
 #: Entries of one matrix, bytes from which a piece is merged on a heap, pieces kept by a worker, characters split at once.
-CELLS, LONG, KEPT, CHUNK = 1 << 20, 512, 400_000, 2_000_000
+CELLS, LONG, KEPT, CHUNK = 1 << 20, 512, 200_000, 1_000_000
 
 
 class PairTable:
@@ -68,9 +68,10 @@ class Codec:
         self.pairs, self.pairs_of = PairTable(pairs), pairs
         self.split = regex.compile(pattern).findall
         self.known: dict[str, int] = {}
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
+        """Forget the pieces met so far; a worker that waits for its next task holds the tables only."""
         self.known.clear()
         self.ids: list[np.ndarray] = []
         self.said: list[str] = []
@@ -173,7 +174,7 @@ class Codec:
         start = 0
         while start < len(texts):
             if len(self.known) > KEPT:
-                self._clear()
+                self.clear()
             end, chars = start, 0
             while end < len(texts) and (end == start or chars + len(texts[end]) <= CHUNK):
                 chars += len(texts[end])
@@ -232,6 +233,7 @@ def tokenize(docs: DataFrame, name: str = "byte_bpe_multi_50k.tiktoken", ids: bo
             if ids:
                 columns.append(pa.array(all_ids, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, [*kept, "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * ids])
+        bpe.clear()
 
     return docs.mapInArrow(run, types)
 
