@@ -93,7 +93,13 @@ def test_flagged_decode_keeps_the_text_of_bad_rows(spark):
     rows = codec.decode_flagged(df, PROBE, keep=("n",)).collect()
     assert {names[r["n"]] for r in rows if r["is_bad"]} == BAD
     for r in rows:
-        assert r["raw"] == (MATRIX[names[r["n"]]][0] if r["is_bad"] else None)
+        unread = not any(v is not None for v in (r[f] for f in PROBE.fieldNames()))
+        assert r["raw"] == (MATRIX[names[r["n"]]][0] if r["is_bad"] or unread else None)
+
+
+def test_flagged_decode_keeps_the_text_of_another_layout(spark):
+    row = codec.decode_flagged(log(spark, '{"ID":"a"}'), PROBE).first()
+    assert row["raw"] == '{"ID":"a"}' and not row["is_bad"]
 
 
 def test_flagged_decode_agrees_with_decode(spark, same):

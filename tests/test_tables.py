@@ -103,10 +103,22 @@ def test_violations_on_known_rows(spark):
 
 
 def test_reconcile_shows_topics_of_either_side(spark):
-    produced = spark.createDataFrame([("a",)] * 3 + [("b",)], "topic string")
-    there = spark.createDataFrame([("a",)] * 2 + [("c",)], "topic string")
-    got = {r["topic"]: (r["produced"], r["landed"]) for r in quality.reconcile(produced, there).collect()}
-    assert got == {"a": (3, 2), "b": (1, 0), "c": (0, 1)}
+    produced = spark.createDataFrame([("a", "1"), ("a", "2"), ("a", "3"), ("b", "1")], "topic string, id string")
+    there = spark.createDataFrame([("a", "1"), ("a", "2"), ("a", "2"), ("c", "1")], "topic string, id string")
+    got = {r["topic"]: tuple(r)[1:] for r in quality.reconcile(produced, there).collect()}
+    assert got == {"a": (3, 3, 1, 0, 1), "b": (1, 0, 1, 0, 0), "c": (0, 1, 0, 1, 0)}
+
+
+def test_replay_reads_one_name_only(spark, tmp_path):
+    from wayfleet.sources.replay import table_stream
+
+    spark.range(3).write.parquet(str(tmp_path / "gps_data"))
+    spark.range(5).write.parquet(str(tmp_path / "gps_data_old"))
+    stream = table_stream(spark, str(tmp_path / "gps_data"), spark.range(1).schema)
+    query = stream.writeStream.format("parquet").option("path", str(tmp_path / "o")).option(
+        "checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "o")).count() == 3
 
 
 def test_empty_rows_are_not_counted_as_landed(spark):

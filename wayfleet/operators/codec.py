@@ -28,7 +28,9 @@ def decode(log: DataFrame, schema: StructType) -> DataFrame:
 
 
 def decode_flagged(log: DataFrame, schema: StructType, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``decode`` plus ``is_bad`` and, for bad rows, the untouched ``raw`` text.
+    """``decode`` plus ``is_bad`` and the untouched ``raw`` text of every row of which no field could be read.
+
+    JSON of another layout is not bad, but gives a row of NULLs, so its text is kept as well.
 
     One parse serves good and bad rows. Land the result with the flag as a folder level and select
     either side from the table: a filter put directly on the decoded columns would move below the
@@ -42,10 +44,11 @@ def decode_flagged(log: DataFrame, schema: StructType, keep: tuple[str, ...] = (
         F.from_json(text, flagged, {"columnNameOfCorruptRecord": CORRUPT}).alias("record"),
     )
     bad = F.col("raw").isNull() | (F.trim("raw") == "") | F.col(f"record.{CORRUPT}").isNotNull()
+    unread = F.coalesce(*(F.col(f"record.{name}").cast("string") for name in schema.fieldNames())).isNull()
     return parsed.select(
         *keep,
         *(F.col(f"record.{name}").alias(name) for name in schema.fieldNames()),
-        F.when(bad, F.col("raw")).alias("raw"),
+        F.when(bad | unread, F.col("raw")).alias("raw"),
         bad.alias("is_bad"),
     )
 

@@ -1,4 +1,4 @@
-"""Event-time deduplication of re-delivered records."""
+"""Deduplication of re-delivered records."""
 
 from __future__ import annotations
 
@@ -6,10 +6,12 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from wayfleet.schemas import WATERMARK
 
 RECORD = ("id", "timestamp")
+ARRIVED, COPY_OF = "_arrived", "_copy_of"
 
 
 def _drop_copies_in_batch(keys: list[str]):
@@ -21,25 +23,34 @@ def _drop_copies_in_batch(keys: list[str]):
     return run
 
 
-def dedup_stream(
-    records: DataFrame, keys: tuple[str, ...] = RECORD, time_col: str = "timestamp", delay: str = WATERMARK
-) -> DataFrame:
-    """One row per key on a stream that may deliver a record more than once.
+def dedup_stream(records: DataFrame, key: str = "id", delay: str = WATERMARK, combine: bool = False) -> DataFrame:
+    """Drop records that are delivered again within ``delay`` of their first arrival; lose nothing else.
 
-    ``records`` has no watermark yet. ``keys`` holds the event time: copies of a record carry its
-    timestamp, the watermark then clears old keys so that the state stays bounded, and a copy that
-    comes after its key was cleared is itself late and dropped.
+    A record is known by ``key``; a row without one is known by its whole content, so different rows
+    are never taken for copies. What clears the state is the time at which a row reaches the query (the
+    time of its batch, kept in the offset log), not its event time: late records land, and no
+    record's clock can make others late. A copy that comes after ``delay`` is kept.
 
-    Rows without event time (undecodable ones) have nothing to clear them by, so they are forgotten
-    when the watermark next moves: copies within a batch are dropped, later ones are kept.
+    The stateful operator shuffles by key without combining first. ``combine`` drops copies inside each
+    Arrow batch before that, for streams where one record may hold a large share of a batch; it takes all
+    rows through Python.
+    """
+    content = F.to_json(F.struct(*(F.col(f"`{c}`") for c in records.columns)))
+    known = F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.concat(F.lit("c"), content))
+    marked = records.withColumn(COPY_OF, known)
+    if combine:
+        marked = marked.mapInArrow(_drop_copies_in_batch([COPY_OF]), marked.schema)
+    arrived = marked.withColumn(ARRIVED, F.current_timestamp()).withWatermark(ARRIVED, delay)
+    return arrived.dropDuplicatesWithinWatermark([COPY_OF]).drop(COPY_OF, ARRIVED)
+
+
+def dedup_in_event_time(records: DataFrame, keys: tuple[str, ...], time_col: str, delay: str = WATERMARK) -> DataFrame:
+    """One row per key on a stream whose watermark is its event time, ahead of joins that need one.
 
-    The stateful operator shuffles by key without combining first, so copies are already dropped
-    inside each Arrow batch on the map side; a key holding a large share of the stream reaches its
-    reducer as one row per batch. Rows of one key have the same event time, so which of them is
-    kept never changes what the watermark lets through.
+    ``records`` has no watermark yet and ``keys`` holds the event time. Rows behind the watermark
+    are dropped, as the joins behind this would drop them.
     """
-    combined = records.mapInArrow(_drop_copies_in_batch(list(keys)), records.schema)
-    return combined.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(list(keys))
+    return records.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
 def dedup_table(records: DataFrame, keys: tuple[str, ...] = RECORD) -> DataFrame:

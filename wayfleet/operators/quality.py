@@ -52,11 +52,22 @@ def drop_empty(records: DataFrame) -> DataFrame:
 
 
 def reconcile(produced: DataFrame, landed: DataFrame) -> DataFrame:
-    """``topic, produced, landed`` counts side by side; a topic missing on one side counts 0 there.
+    """``topic, produced, landed`` counts side by side, and records that are ``missing``, ``extra`` or ``duplicated``.
 
-    One aggregation over both inputs, so no join and no lost topic.
+    Records are told apart by ``id``: missing ones were produced more often than they landed, extra ones
+    landed without having been produced, duplicated ones landed more often than they were produced. Each
+    counts rows; rows without id are one record of their topic. A topic of one side counts 0 on the other. Both inputs
+    are counted by record and then by topic, without a join.
     """
-    both = produced.select("topic", F.lit(1).alias("p"), F.lit(0).alias("l")).unionByName(
-        landed.select("topic", F.lit(0).alias("p"), F.lit(1).alias("l"))
+    both = produced.select("topic", "id", F.lit(1).alias("p"), F.lit(0).alias("l")).unionByName(
+        landed.select("topic", "id", F.lit(0).alias("p"), F.lit(1).alias("l"))
+    )
+    each = both.groupBy("topic", "id").agg(F.sum("p").alias("p"), F.sum("l").alias("l"))
+    more = F.greatest(F.col("l") - F.col("p"), F.lit(0))
+    return each.groupBy("topic").agg(
+        F.sum("p").alias("produced"),
+        F.sum("l").alias("landed"),
+        F.sum(F.greatest(F.col("p") - F.col("l"), F.lit(0))).alias("missing"),
+        F.sum(F.when(F.col("p") == 0, F.col("l")).otherwise(0)).cast("long").alias("extra"),
+        F.sum(F.when(F.col("p") > 0, more).otherwise(0)).cast("long").alias("duplicated"),
     )
-    return both.groupBy("topic").agg(F.sum("p").alias("produced"), F.sum("l").alias("landed"))

@@ -101,7 +101,7 @@ def oracle() -> dict[str, str]:
         "decode_quarantine": WITH_TICKS + """
 SELECT 'v-' || CAST(event_id AS VARCHAR) AS record_key, false AS is_bad, device_id, CAST(NULL AS VARCHAR) AS raw
 FROM ticks
-UNION ALL SELECT 'p-' || CAST(event_id AS VARCHAR), false, NULL, NULL FROM events
+UNION ALL SELECT 'p-' || CAST(event_id AS VARCHAR), false, NULL, props FROM events
 UNION ALL SELECT 'd-' || CAST(doc_id AS VARCHAR), true, NULL, text FROM documents""",
         "dedup_stream": WITH_TICKS + "SELECT 'v-' || CAST(event_id AS VARCHAR) AS id, device_id FROM ticks",
         "watermark_passthrough": WITH_TICKS + _record("gps"),
@@ -134,7 +134,8 @@ FROM (SELECT event_id, device_id,
              epoch_us(event_ts) - epoch_us(lag(event_ts) OVER {BY_DEVICE}) AS gap_us FROM ticks)""",
         "quality_violations": _violations(),
         "reconcile_topics": WITH_RECORDS
-        + _union("SELECT '{topic}' AS topic, count(*) AS produced, count(*) AS landed FROM {kind}"),
+        + _union("SELECT '{topic}' AS topic, count(*) AS produced, count(*) AS landed, "
+                 "0::BIGINT AS missing, 0::BIGINT AS extra, 0::BIGINT AS duplicated FROM {kind}"),
         "rollup_stream": WITH_RECORDS + """
 SELECT time_bucket(INTERVAL 1 HOUR, "timestamp") AS window_start, device_id, count(*) AS n,
        CAST(sum(CAST(round(speed * 100) AS BIGINT)) AS BIGINT) AS sum_cents

@@ -18,6 +18,7 @@ from wayfleet.plans.ticks import payloads, records, ticks, ticks_stream
 from wayfleet.schemas import DEFAULT_TOPICS, KINDS, schema
 from wayfleet.session import settings, shared_dir, tune
 from wayfleet.sources.landed import cluster_by_tick, read_landed, register
+from wayfleet.sources.replay import table_stream
 from wayfleet.streaming.land import land, landing_frame, start_landing
 from wayfleet.streaming.live_trips import truncate_stream
 from wayfleet.streaming.supervise import supervise
@@ -78,12 +79,14 @@ def decode_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every vehicle record delivered twice."""
-    log = codec.encode(records(ticks_stream(spark, sf_dir))["vehicle"])
-    twice = codec.decode(log.unionByName(log), schema("vehicle"))
-    return _run(spark, dedup_stream(twice.select("id", "device_id", "timestamp")), shared_dir(spark)).select(
-        "id", "device_id"
-    )
+    """Every vehicle record delivered three times, each delivery in batches of its own."""
+    log, folder = codec.encode(records(ticks(spark, sf_dir))["vehicle"]), shared_dir(spark)
+    for _ in range(3):
+        log.write.mode("append").parquet(f"{folder}/log")
+    files = len(spark.read.parquet(f"{folder}/log").inputFiles())
+    stream = table_stream(spark, f"{folder}/log", log.schema, files_per_batch=max(1, files // 3))
+    seen = codec.decode(stream, schema("vehicle")).select("id", "device_id", "timestamp")
+    return _run(spark, dedup_stream(seen, delay="1 day"), folder).select("id", "device_id")
 
 
 def _gps_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

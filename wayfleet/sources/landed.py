@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wayfleet.config import JobConfig
-from wayfleet.operators.correlate import TICK, one_per_tick
+from wayfleet.operators.correlate import TICK, one_per_record
 from wayfleet.schemas import EXTRA, KINDS, LEAD, schema
 from wayfleet.session import settings
 
@@ -66,7 +66,7 @@ def cluster_by_tick(spark: SparkSession, database: str, config: JobConfig, bucke
             topic = config.topics[kind]
             name = f"{database}.{topic}_by_tick"
             (
-                one_per_tick(read_landed(spark, config, kind))
+                one_per_record(read_landed(spark, config, kind), "id")
                 .write.bucketBy(buckets, *TICK)
                 .sortBy(*TICK)
                 .mode("overwrite")

@@ -19,7 +19,7 @@ def parse(argv: list[str] | None = None) -> tuple[JobConfig, bool]:
     parser.add_argument("--min-partitions", type=int)
     parser.add_argument("--partition-by-date", action="store_true", help="add event_date folders")
     parser.add_argument("--quarantine", action="store_true", help="keep undecodable text, in verdict=bad folders")
-    parser.add_argument("--dedup", action="store_true", help="drop re-delivered records")
+    parser.add_argument("--dedup", action="store_true", help="drop records re-delivered within an hour of their first arrival; later copies are kept")
     parser.add_argument("--available-now", action="store_true", help="land what the topics hold and end")
     given = {k: v for k, v in vars(parser.parse_args(argv)).items() if v is not None}
     available_now = given.pop("available_now")

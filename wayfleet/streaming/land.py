@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wayfleet.config import JobConfig
 from wayfleet.operators.codec import decode, decode_flagged
-from wayfleet.operators.dedup import RECORD, dedup_stream
+from wayfleet.operators.dedup import dedup_stream
 from wayfleet.schemas import KINDS, schema
 from wayfleet.sources.kafka import topic_stream
 
@@ -45,18 +45,20 @@ def land(
 def landing_frame(log: DataFrame, kind: str, config: JobConfig) -> tuple[DataFrame, tuple[str, ...]]:
     """What one topic's query writes, and the folder columns it is laid out by.
 
-    Unless ``dedup`` is on nothing here keeps state, so the watermark drops no late row; it is there
-    for stateful operators that are put behind this frame.
+    Without ``dedup`` nothing here keeps state, so the watermark drops no late row; it is there for
+    stateful operators that are put behind this frame. With it, the watermark is on the time of arrival,
+    and no row is late.
     """
     if config.quarantine:
         flagged = decode_flagged(log, schema(kind))
         # Folder names come back as text whatever they were, so text is what is written.
-        verdict = F.when(F.col("is_bad"), F.lit("bad")).otherwise(F.lit("good"))
+        foreign = F.col("raw").isNotNull()
+        verdict = F.when(F.col("is_bad"), F.lit("bad")).when(foreign, F.lit("foreign")).otherwise(F.lit("good"))
         records, folders = flagged.withColumn("verdict", verdict).drop("is_bad"), ("verdict",)
     else:
         records, folders = decode(log, schema(kind)), ()
     if config.dedup:
-        records = dedup_stream(records, RECORD + (("raw",) if config.quarantine else ()), delay=config.watermark)
+        records = dedup_stream(records, delay=config.dedup_delay)
     else:
         records = records.withWatermark("timestamp", config.watermark)
     if config.partition_by_date:
