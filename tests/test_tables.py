@@ -109,6 +109,14 @@ def test_reconcile_shows_topics_of_either_side(spark):
     assert got == {"a": (3, 3, 1, 0, 1), "b": (1, 0, 1, 0, 0), "c": (0, 1, 0, 1, 0)}
 
 
+def test_a_quote_in_the_root_does_not_break_registration(spark, tmp_path):
+    config = JobConfig(root=str(tmp_path / "driver's"))
+    rows = spark.createDataFrame([("a", "d", None, None, 1.0)], schema("gps"))
+    rows.write.parquet(config.output("gps"))
+    register(spark, "wayfleet_quoted", config)
+    assert spark.table("wayfleet_quoted.gps_data").count() == 1
+
+
 def test_replay_reads_one_name_only(spark, tmp_path):
     from wayfleet.sources.replay import table_stream
 

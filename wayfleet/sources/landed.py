@@ -27,10 +27,15 @@ def landed_folders(spark: SparkSession, output_root: str) -> dict[str, str]:
     return {name: where for name, where in sorted(folders.items()) if name[0] not in "_."}
 
 
+def _literal(text: str) -> str:
+    """A SQL string literal, whatever the text holds."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _create_database(spark: SparkSession, database: str, config: JobConfig) -> None:
     """Its folder goes below the shared root, not into a warehouse folder of the driver's machine."""
     where = f"{config.root.rstrip('/')}/catalog/{database}.db"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{where}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION {_literal(where)}")
 
 
 def register(spark: SparkSession, database: str, config: JobConfig) -> list[str]:
@@ -45,7 +50,7 @@ def register(spark: SparkSession, database: str, config: JobConfig) -> list[str]
     for name, where in folders.items():
         columns = f"({LEAD}, {EXTRA[kinds[name]]})" if plain and name in kinds else ""
         spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
-        spark.sql(f"CREATE TABLE `{database}`.`{name}` {columns} USING parquet LOCATION '{where}'")
+        spark.sql(f"CREATE TABLE `{database}`.`{name}` {columns} USING parquet LOCATION {_literal(where)}")
         if any(column.isPartition for column in spark.catalog.listColumns(f"{database}.{name}")):
             spark.catalog.recoverPartitions(f"{database}.{name}")
     return list(folders)
