@@ -91,6 +91,14 @@ def test_later_lines_go_and_other_columns_stay(docs):
     assert report[7]["removed"] == [1] and report[8]["n_links"] == 1 and report[0]["n_removed"] == 0
 
 
+def test_short_lines_are_compared(spark):
+    texts = ["ok\nshort line here\n\n\t", "ok\nshort lime here\n\n\t", "no\nok\nshort line here"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    report = {r["doc_id"]: r for r in line_dedup.report(docs).collect()}
+    assert [report[i]["removed"] for i in range(3)] == [[], [0, 1], [1, 2]]
+    assert [report[i]["n_links"] for i in range(3)] == [1, 1, 1]
+
+
 def test_mix_meets_targets_and_agrees_with_itself(docs):
     rows = mixing.mix(docs).collect()
     assert sorted(map(str, rows)) == sorted(map(str, mixing.mix(docs).collect()))
