@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -84,6 +85,45 @@ def test_line_join_equals_brute_force(spark):
         assert got == {(i, j) for (i, a), (j, b) in itertools.combinations(enumerate(lines), 2) if distance(a, b) <= edits}
 
 
+def test_long_line_join_equals_brute_force(spark):
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a):
+            before, row[0] = row[0], i + 1
+            for j, y in enumerate(b):
+                before, row[j + 1] = row[j + 1], min(row[j + 1] + 1, row[j] + 1, before + (x != y))
+        return row[-1]
+
+    def allowed(line):
+        pieces = {x for x in re.findall(line_dedup.PIECE, line) if len(x) >= line_dedup.PIECE_CHARS}
+        return min(len(line) // line_dedup.PER_EDIT, (len(pieces) - 1) // 2)
+
+    rng, lines = random.Random(5), set()
+    for _ in range(8):
+        line = " ".join(rng.choice(["morning", "the", "vehicle", "road", "seven", "is", "passed", "with", "traffic", "near"]) for _ in range(60))
+        lines.add(line)
+        for n in (1, 2, 3, 4, 5, 6, 9):
+            s = list(line)
+            for _ in range(n):
+                at, kind = rng.randrange(len(s)), rng.randrange(3)
+                s[at:at + (kind < 2)] = [] if kind == 0 else [rng.choice("abno ")]
+            lines.add("".join(s))
+    lines = sorted(lines)
+    expected = {(i, j) for (i, a), (j, b) in itertools.combinations(enumerate(lines), 2)
+                if min(allowed(a), allowed(b)) > 1 and distance(a, b) <= min(allowed(a), allowed(b))}
+    assert any(distance(lines[i], lines[j]) > 3 for i, j in expected)
+    frame = spark.createDataFrame([*enumerate(lines), (0, lines[0])], "id long, line string")
+    for crowd in (1, 100):
+        assert {(r["a"], r["b"]) for r in line_dedup.similar_long_lines(frame, crowd).collect()} == expected
+
+
+def test_long_lines_with_a_changed_word_are_near(spark):
+    line = " ".join(f"{w} wonderful{i}" for i, w in enumerate(["morning", "vehicle", "road", "passed", "traffic"] * 8))
+    docs = spark.createDataFrame([(0, line), (1, line.replace("wonderful7 ", "marvellous7 ")), (2, line[:300])], "doc_id long, text string")
+    report = {r["doc_id"]: r for r in line_dedup.report(docs).collect()}
+    assert [(report[i]["removed"], report[i]["n_links"]) for i in range(3)] == [([], 1), ([0], 1), ([], 0)]
+
+
 def test_later_lines_go_and_other_columns_stay(docs):
     got = {r["doc_id"]: r["text"] for r in line_dedup.without_repeats(docs).collect()}
     assert got[6].endswith("number one") and got[7] == "x" and got[8] == "" and got[0] is None and got[3] == ""
