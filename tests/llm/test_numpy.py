@@ -82,6 +82,18 @@ def test_products_are_exact_beyond_doubles():
     assert topk.products(a, b)[0, 0] == (2**31 - 1) ** 2 + (2**31 - 1) * (2**31 - 2) + 21
 
 
+def test_best_leaves_out_every_row_of_the_own_id():
+    rng = np.random.default_rng(2)
+    ids = np.sort(np.concatenate([np.arange(150), np.full(90, 7), np.full(2, 9)]))
+    own = np.array([7, 9, 20, 999])
+    scores = rng.integers(0, 12, (4, len(ids)))
+    scores[0, ids == 7] = scores[1, ids == 9] = 99
+    counts, got_ids, got_scores = topk.best(scores, ids, own, 20)
+    expected = [sorted((-s, i) for s, i in zip(row.tolist(), ids.tolist()) if i != mine)[:20] for row, mine in zip(scores, own)]
+    assert counts.tolist() == [20] * 4
+    assert list(zip((-got_scores).tolist(), got_ids.tolist())) == [pair for row in expected for pair in row]
+
+
 def test_boosted_trees_learn_a_rule_and_score_without_labels():
     rng = np.random.default_rng(4)
     x = rng.random((2000, 5)).astype(np.float32)

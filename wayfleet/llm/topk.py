@@ -81,15 +81,14 @@ def best(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> tuple[
     ``ids`` ascend, so the first of equal scores is the one to keep; ``own`` is the id each row leaves out.
     """
     counts, out_ids, out_scores = [], [], []
-    for row, mine in zip(scores, own, strict=True):
-        if len(row) > 2 * k + 8:
-            floor = np.partition(row, len(row) - k - 1)[len(row) - k - 1] if len(row) > k else row.min()
-            above = np.flatnonzero(row > floor)
-            level = np.flatnonzero(row == floor)[: k + 1 + int(np.count_nonzero(ids == mine))]
-            at = np.concatenate([above, level])
-        else:
-            at = np.arange(len(row))
-        at = at[ids[at] != mine]
+    every = np.arange(len(ids))
+    for row, first, last in zip(scores, np.searchsorted(ids, own), np.searchsorted(ids, own, "right"), strict=True):
+        # all rows of the own id leave first, however many there are
+        at = np.concatenate([every[:first], every[last:]]) if last > first else every
+        if len(at) > 2 * k + 8:
+            others = row[at]
+            floor = np.partition(others, len(at) - k)[len(at) - k]
+            at = at[np.concatenate([np.flatnonzero(others > floor), np.flatnonzero(others == floor)[:k]])]
         at = at[np.lexsort((ids[at], -row[at]))][:k]
         counts.append(len(at))
         out_ids.append(ids[at])
