@@ -198,6 +198,13 @@ def test_top_k_breaks_ties_by_id(spark):
         assert [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] == expected
 
 
+def test_top_k_keeps_components_beyond_32_bits(spark):
+    vectors = {0: [3.0, 1.0], 1: [2.0**40 + 1, 5.0], 2: [2.0**40, 7.0], 3: [-(2.0**45), 2.0**33]}
+    frame = spark.createDataFrame(list(vectors.items()), "vec_id long, ints array<double>")
+    got = [(r["vec_id"], r["score"]) for r in topk.top_k(frame.where("vec_id = 0"), frame, 5).orderBy("rank").collect()]
+    assert got == [(1, 3 * 2**40 + 8), (2, 3 * 2**40 + 7), (3, -3 * 2**45 + 2**33)]
+
+
 def test_pipeline_runs_its_stages_in_order(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "lines", "near_copies", "mix", "tokens"]
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001")

@@ -33,7 +33,8 @@ def _pack(rows: int):
         matrix = np.zeros((len(ids), dim), np.float64)
         for i, v in enumerate(vectors):
             matrix[i, : len(v)] = v
-        matrix = np.clip(matrix, -(2.0**31), 2.0**31 - 1).astype(np.int64)
+        most = np.nextafter(2.0**63, 0)  # the largest double that is a long
+        matrix = np.clip(matrix, -most, most).astype(np.int64)
         order = np.argsort(np.asarray(ids, np.int64), kind="stable")
         top = int(np.abs(matrix).max(initial=0))
         kind = next(k for k in (np.int8, np.int16, np.int32, np.int64) if top <= np.iinfo(k).max)
@@ -147,7 +148,7 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int = 20) -> DataFrame:
     Rows become tiles of at most 4,096 (queries: 512), dealt evenly whatever their ids. Every query tile
     meets every shard: that is the stated query set against all rows, in blocks. A task multiplies two tiles
     at a time and keeps ``k`` per query; lists are merged 16 at a time up a tree. Vectors of unequal length
-    are filled up with zeros, components are held to 32 bits and scores to 64, an id that repeats is
+    are filled up with zeros, only components and scores beyond a long are held to its range, an id that repeats is
     answered (and found) once for each of its rows, and null ids take no part.
     """
     spark = rows.sparkSession
