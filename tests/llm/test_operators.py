@@ -187,6 +187,15 @@ def test_urls_follow_rules_then_hosts(spark):
     assert got[7]["verdict"] == "block" and got[9]["verdict"] == "block" and got[9]["rule"] is None
 
 
+def test_distrust_reaches_hosts_of_a_domain_without_pages(spark):
+    urls = [f"http://{h}.farm.com/x" for h in "abcdef"] + ["http://m.new.farm.com/x", "http://lone.other.com/x", "http://a.mixed.com/x", "http://b.mixed.com/bad", "http://c.mixed.com/x"]
+    pages = spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)], "page_id long, url string, html string")
+    rules = [url_trust.Rule("block", f"{h}.farm.com", "/") for h in "abcdef"] + [url_trust.Rule("block", "mixed.com", "/bad")]
+    got = {r["host"]: r for r in url_trust.judge_urls(pages, rules).collect()}
+    assert got["m.new.farm.com"]["rule"] is None and got["m.new.farm.com"]["verdict"] == "block"
+    assert got["lone.other.com"]["distrust"] == 0 and {got[f"{h}.mixed.com"]["verdict"] for h in "ac"} == {"allow"}
+
+
 def test_top_k_breaks_ties_by_id(spark):
     rows = [(i, [float(i % 3), 1.0]) for i in range(45)] + [(None, [9.0, 9.0])]
     frame = spark.createDataFrame(rows, "vec_id long, ints array<double>")

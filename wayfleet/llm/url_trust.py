@@ -25,6 +25,8 @@ class Rule(NamedTuple):
 
 #: The rules of the registered query.
 RULES = (Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"), Rule("block", "example.com", "/de/"), Rule("allow", "org", "/fr/"))
+#: Moves between hosts, or hosts, of a partition while trust spreads.
+MOVES = 200_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _HREF = r"""(?i)\shref\s*=\s*["']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"'>\s]+)"""
 
@@ -48,18 +50,25 @@ def matching(rules: Sequence[Rule], host: Column, path: Column) -> Column:
 
 
 def host_edges(pages: DataFrame) -> DataFrame:
-    """``(a, b, w)``: hosts and the hosts they link to, by number of links, and each host tied both ways to its parent domain.
+    """``(a, b, w, tied)``: hosts and the hosts they link to, by number of links, and each host tied both ways, with
+    weight 1, to every domain above it that is a host too or that another host shares; ``tied`` is the part of ``w`` from ties.
 
-    Relative links stay on their host and are no edges. Ties run only between hosts that have pages or links.
+    Relative links stay on their host and are no edges. Domains go down to two labels and need no pages;
+    addresses made of numbers, and names beyond the 253 characters of a host name, have none.
     """
     links = pages.select("host", F.explode(F.array_distinct(F.regexp_extract_all(filled(F.col("html")), F.lit(_HREF), F.lit(1)))).alias("link"))
     links = links.select("host", host_and_path(F.regexp_replace("link", r"^//", "http://"))[0].alias("to")).where("host <> to AND to <> ''")
     linked = cut(links.groupBy(F.col("host").alias("a"), F.col("to").alias("b")).agg(F.count(F.lit(1)).cast("double").alias("w")))
-    hosts = pages.select("host").union(linked.select("a")).union(linked.select("b")).distinct()
-    parents = hosts.select("host", F.regexp_extract("host", r"^[^.]+\.(.+\..+)$", 1).alias("up")).where("up <> ''")
-    ties = parents.join(hosts.select(F.col("host").alias("up")), "up")
+    hosts = cut(pages.select("host").union(linked.select("a")).union(linked.select("b")).distinct())
+    named = hosts.where(~F.col("host").rlike(r"^[0-9.]+(:[0-9]*)?$") & (F.length("host") <= 253)).select("host", F.split("host", r"\.").alias("_labels"))
+    ups = F.expr("transform(sequence(1, size(_labels) - 2), i -> array_join(slice(_labels, i + 1, size(_labels)), '.'))")
+    above = cut(named.where("size(_labels) > 2").select("host", F.explode(ups).alias("up")))
+    shared = above.groupBy("up").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("up")
+    shared = shared.union(hosts.select(F.col("host").alias("up"))).distinct()
+    ties = above.join(shared, "up")
     both = ties.select(F.explode(F.array(F.struct(F.col("host").alias("a"), F.col("up").alias("b")), F.struct(F.col("up").alias("a"), F.col("host").alias("b")))).alias("e"))
-    return linked.union(both.select("e.a", "e.b", F.lit(1.0).alias("w"))).where("a <> ''").groupBy("a", "b").agg(F.sum("w").alias("w"))
+    edges = linked.select("a", "b", "w", F.lit(0.0).alias("tied")).union(both.select("e.a", "e.b", F.lit(1.0), F.lit(1.0)))
+    return edges.where("a <> ''").groupBy("a", "b").agg(F.sum("w").alias("w"), F.sum("tied").alias("tied"))
 
 
 def spread(seeds: DataFrame, edges: DataFrame, damping: float, rounds: int, close: float) -> DataFrame:
@@ -67,35 +76,41 @@ def spread(seeds: DataFrame, edges: DataFrame, damping: float, rounds: int, clos
 
     ``seeds`` holds the share of a host's pages that rules allow and block. Trust is personalised
     PageRank along the links, distrust the same against them: what a host has, times ``damping``, is dealt to
-    its neighbours by weight and added to their seed. A host that nothing points to keeps its seed. Ends
+    its neighbours by weight and added to their seed. A tie is half the way between two hosts of a domain and is
+    damped by the square root. At a damping of 0.5 a host without seeds thus gets the mean distrust of
+    the hosts it shares a domain with. A host that nothing points to keeps its seed. Ends
     after ``rounds`` or when no score moves by more than ``close``.
     """
     out = edges.groupBy("a").agg(F.sum("w").alias("out"))
     into = edges.groupBy("b").agg(F.sum("w").alias("into"))
-    shares = cut(edges.join(out, "a").join(into, "b").select("a", "b", (F.col("w") / F.col("out")).alias("f"), (F.col("w") / F.col("into")).alias("g")))
+    kept = F.lit(damping) * (F.col("w") - F.col("tied")) + F.lit(damping**0.5) * F.col("tied")
+    shares = cut(edges.join(out, "a").join(into, "b").select("a", "b", (kept / F.col("out")).alias("f"), (kept / F.col("into")).alias("g")))
     moves = cut(shares.select(F.explode(F.array(
         F.struct(F.col("a").alias("src"), F.col("b").alias("dst"), F.col("f").alias("t"), F.lit(0.0).alias("d")),
         F.struct(F.col("b").alias("src"), F.col("a").alias("dst"), F.lit(0.0).alias("t"), F.col("g").alias("d")),
     )).alias("m")).select("m.*"))
+    # few partitions and one join a round: rounds are many and small
+    known = moves.count()
+    moves = moves.coalesce(max(1, -(-known // MOVES)))
     others = moves.select(F.col("dst").alias("host")).distinct().join(seeds, "host", "left_anti")
-    start = cut(seeds.union(others.select("host", F.lit(0.0), F.lit(0.0))))
-    now = start.select("host", F.col("allowed").alias("trust"), F.col("blocked").alias("distrust"))
-    for _ in range(rounds):
-        passed = moves.join(now, F.col("src") == F.col("host")).groupBy("dst").agg(
+    start = seeds.union(others.select("host", F.lit(0.0), F.lit(0.0))).select("host", "allowed", "blocked")
+    now = cut(start.withColumns({"trust": F.col("allowed"), "distrust": F.col("blocked")}))
+    parts = max(1, -(-max(known, now.count()) // MOVES))
+    now = now.coalesce(parts)
+    for _ in range(rounds if known else 0):
+        passed = moves.join(now.select(F.col("host").alias("src"), "trust", "distrust"), "src").groupBy("dst").agg(
             F.sum(F.col("t") * F.col("trust")).alias("t_in"), F.sum(F.col("d") * F.col("distrust")).alias("d_in")
         )
-        old = now.select(F.col("host").alias("_host"), F.col("trust").alias("_trust"), F.col("distrust").alias("_distrust"))
-        step = start.join(passed, F.col("host") == F.col("dst"), "left").join(old, F.col("host") == F.col("_host"))
-        step = cut(step.select(
-            "host",
-            (F.col("allowed") + F.lit(damping) * F.coalesce("t_in", F.lit(0.0))).alias("trust"),
-            (F.col("blocked") + F.lit(damping) * F.coalesce("d_in", F.lit(0.0))).alias("distrust"), "_trust", "_distrust",
-        ))
-        moved = step.agg(F.max(F.greatest(F.abs(F.col("trust") - F.col("_trust")), F.abs(F.col("distrust") - F.col("_distrust"))))).first()[0]
-        now = step.select("host", "trust", "distrust")
-        if moved is None or moved <= close:
+        trust = F.col("allowed") + F.coalesce("t_in", F.lit(0.0))
+        distrust = F.col("blocked") + F.coalesce("d_in", F.lit(0.0))
+        moved = F.greatest(F.abs(trust - F.col("trust")), F.abs(distrust - F.col("distrust")))
+        step = now.join(passed, F.col("host") == F.col("dst"), "left")
+        step = cut(step.select("host", "allowed", "blocked", trust.alias("trust"), distrust.alias("distrust"), moved.alias("moved")))
+        step = step.coalesce(parts)
+        now = step.drop("moved")
+        if not step.where(F.col("moved") > F.lit(close)).take(1):
             break
-    return now
+    return now.select("host", "trust", "distrust")
 
 
 def judge_urls(
