@@ -46,6 +46,16 @@ def test_disguises_are_found_at_their_place(text, kind, find):
     assert [(s.kind, text[s.start:s.end]) for s in every] == [(kind, find)]
 
 
+@pytest.mark.parametrize(("text", "kind", "find"), [
+    ("call +49 one 5 one 7 two 3 four 5 now", "phone", "+49 one 5 one 7 two 3 four 5"),
+    ("at 192 dot 168 dot 1 dot 17 there", "ip", "192 dot 168 dot 1 dot 17"),
+    ("call plus 49 151 234 5678 now", "phone", "plus 49 151 234 5678"),
+    ("to john.doe@mail.example [dot] com now", "email", "john.doe@mail.example [dot] com"),
+])
+def test_mixed_disguises_are_found(text, kind, find):
+    assert (kind, find) in [(s.kind, text[s.start:s.end]) for s in pii.find_personal(text)[1]]
+
+
 def test_clean_text_has_no_finds():
     for text in ("look at example.com and", "one two three, four.", "un un un un la", "", "a@b", "300.1.1.1", "1234 5678 9012 3456"):
         assert pii.find_personal(text) == ([], [])

@@ -96,11 +96,12 @@ _WORD_SIGN = re.compile(r"[ \t]+(at|arobase|arroba|dot|punkt|point|punto)[ \t]+"
 _SPOKEN_DOT = re.compile(r"[ \t]+(?:dot|punkt|point|punto|\.)[ \t]+", re.I)
 _AFTER_AT = re.compile(r"@[ \t]*[A-Za-z0-9-]+(?:(?:[ \t]+(?:dot|punkt|point|punto|\.)[ \t]+|\.)[A-Za-z0-9-]+)+", re.I)
 _DIGIT_WORD = "|".join(sorted(DIGITS, key=len, reverse=True))
+_DOT, _GAP = "dot|punkt|point|punto", r"(?:[ \t]*[-.,][ \t]*|[ \t]+)"
 _SPELLED = re.compile(rf"(?<!\w)(?:\+|plus[ \t]+)?(?:(?:{_DIGIT_WORD}|[0-9]+)(?:[ \t]*[-.,][ \t]*|[ \t]+(?:(?:dot|punkt|point|punto)[ \t]+)?)){{3,}}(?:{_DIGIT_WORD}|[0-9]+)(?!\w)", re.I)
 _SPELLED_PART = re.compile(rf"(?<!\w)(plus|{_DIGIT_WORD}|dot|punkt|point|punto)(?!\w)", re.I)
 _SPACED = re.compile(r"(?<=[A-Za-z0-9])[ \t]+@[ \t]*(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])@[ \t]+(?=[A-Za-z0-9])")
 #: One look at the text tells whether any transducer has work.
-_HINT = re.compile(rf"{_ODD.pattern}|[(\[{{<][ \t]*(?:{_SIGN}|@|\.)[ \t]*[)\]}}>]|[ \t](?:at|arobase|arroba)[ \t]+[A-Za-z0-9-]+(?:[ \t.]+[A-Za-z0-9-]+){{0,4}}[ \t]+(?:dot|punkt|point|punto)[ \t]|(?<!\w)(?:{_DIGIT_WORD})(?:[ \t]*[-.,][ \t]*|[ \t]+)(?:(?:dot|punkt|point|punto)[ \t]+)?(?:{_DIGIT_WORD})(?!\w)|[ \t]@|@[ \t]", re.I)
+_HINT = re.compile(rf"{_ODD.pattern}|[(\[{{<][ \t]*(?:{_SIGN}|@|\.)[ \t]*[)\]}}>]|[ \t](?:at|arobase|arroba)[ \t]+[A-Za-z0-9-]+(?:[ \t.]+[A-Za-z0-9-]+){{0,4}}[ \t]+(?:dot|punkt|point|punto)[ \t]|(?<!\w)(?:{_DIGIT_WORD}){_GAP}(?:{_DIGIT_WORD}|[0-9])|[0-9]{_GAP}(?:{_DIGIT_WORD})(?!\w)|(?<!\w)(?:[0-9]+|{_DIGIT_WORD})[ \t]+(?:{_DOT})[ \t]+(?:{_DIGIT_WORD}|[0-9])|(?<!\w)plus[ \t]+(?:{_DIGIT_WORD}|[0-9])|[ \t]@|@[ \t]", re.I)
 
 
 class Mapped:
@@ -135,7 +136,7 @@ def _digits(m: Mapped) -> None:
     edits = []
     for run in _SPELLED.finditer(m.text):
         words = [x for x in _SPELLED_PART.finditer(m.text, run.start(), run.end())]
-        if sum(x[0].lower() in DIGITS for x in words) < 3:
+        if sum(x[0].lower() in DIGITS for x in words) < 3 and all(x[0].lower() in DIGITS for x in words):
             continue
         at, new, dotted = run.start(), [], False
         for x in words:
@@ -150,7 +151,7 @@ def _digits(m: Mapped) -> None:
             at = x.end()
         new.append(m.text[at : run.end()])
         joined = re.sub(r"(?<=[0-9])[ \t]*[,][ \t]*(?=[0-9])", "", "".join(new))
-        joined = re.sub(r"[ \t]*\.[ \t]*", ".", joined)
+        joined = re.sub(r"\+[ \t]+(?=[0-9])", "+", re.sub(r"[ \t]*\.[ \t]*", ".", joined))
         edits.append((run.start(), run.end(), joined))
     m.replace(edits)
 
@@ -206,8 +207,8 @@ def _regions(text: str) -> list[tuple[int, int]]:
 
 
 def hidden_spans(text: str, base: list[Span]) -> list[Span]:
-    """What only the normalised text shows, in source characters; finds that touch a base span are left out."""
-    taken = [(s.start, s.end) for s in base]
+    """What only the normalised text shows, in source characters. A find that touches a base span is left out,
+    unless it holds every base span it touches, is of the kind of one of them and goes beyond them."""
     added: list[Span] = []
     for a, b in _regions(text):
         m = Mapped(text[a:b])
@@ -217,7 +218,9 @@ def hidden_spans(text: str, base: list[Span]) -> list[Span]:
             if find.kind == "email" and not re.search(r"\.[A-Za-z]{2,}$", m.text[find.start : find.end]):
                 continue
             s, e = m.source(find).start + a, m.source(find).end + a
-            same = any(x < e and s < y for x, y in taken) or any(x.kind == find.kind and x.start < e and s < x.end for x in added)
+            touched = [x for x in base if x.start < e and s < x.end]
+            longer = any(x.kind == find.kind for x in touched) and all(s <= x.start and x.end <= e and (s, e) != (x.start, x.end) for x in touched)
+            same = (touched and not longer) or any(x.kind == find.kind and x.start < e and s < x.end for x in added)
             if not same:
                 added.append(Span(find.kind, s, e))
     return added
@@ -242,7 +245,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     Base finds follow the plain patterns on the whole text. Around hints (look-alike letters, characters that
     show nothing, spelled digits, bracketed or spoken signs) transducers rewrite the text while each character
     keeps its source range; the same patterns then run on the rewritten text and their finds are mapped back.
-    A find that touches a base find is left out. Null and empty texts have no finds; repeated rows
+    A find that touches a base find is left out unless it extends one of its kind. Null and empty texts have no finds; repeated rows
     get the same result; columns of the result's names are replaced, other columns stay.
     """
     names = ["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]
