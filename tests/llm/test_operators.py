@@ -167,6 +167,16 @@ def test_classifier_scores_every_row(docs, labels):
     assert quality_model.good_documents(docs, labels).columns == docs.columns
 
 
+def test_copies_are_sampled_one_by_one(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality_model, "fit", lambda x, y: seen.append((len(y), int(y.sum()))))
+    vector = lambda i: [float(i)] * len(quality_model.FEATURES)
+    for value in (-1, -2, -3):
+        known = spark.createDataFrame([(i, vector(value if i < 300 else i)) for i in range(900)], "doc_id long, _x array<double>")
+        quality_model.train(known, spark.createDataFrame([(i, int(i < 300)) for i in range(900)], "doc_id long, quality int"), 90)
+    assert all(n == 90 and 10 < good < 55 for n, good in seen) and len(seen) == 3
+
+
 def test_rules_equal_brute_force(docs, labels):
     for r in quality_rules.judge(docs, labels.where("quality = 1")).join(docs.select("doc_id", F.col("text").alias("t")), "doc_id").collect():
         words = (r["t"] or "").split()

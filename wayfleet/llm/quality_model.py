@@ -151,16 +151,16 @@ def train(known: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Forest:
     """Fit on the labelled rows of ``known`` (``doc_id``, ``_x``) that are not held out.
 
     A document labelled more than once counts as what most of its labels say (good on a tie); null labels are
-    left out. Beyond ``sample`` rows, those with the least hash of their statistics are taken.
+    left out. Beyond ``sample`` rows, those with the least hash of id and statistics are taken.
     """
     votes = labels.where("quality IS NOT NULL").groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("_y"))
-    rows = known.select("doc_id", "_x").where(~held_out(F.col("doc_id"))).join(votes, "doc_id").select(F.xxhash64("_x").alias("_h"), "_x", "_y")
+    rows = known.select("doc_id", "_x").where(~held_out(F.col("doc_id"))).join(votes, "doc_id").select(F.xxhash64("doc_id", "_x").alias("_h"), "doc_id", "_x", "_y")
     rows = cut(rows)
     n = rows.count()
     if n > sample:
-        bound = int(-(2**63) + 2**64 * (sample / n) * 0.99)
-        rows = rows.where(F.col("_h") < F.lit(bound))
-    got = rows.limit(sample).toPandas().sort_values("_h", kind="stable")
+        bound = min(int(-(2**63) + 2**64 * (sample / n) * 1.05), 2**63 - 1)
+        rows = rows.where(F.col("_h") <= F.lit(bound)).orderBy("_h", "doc_id").limit(sample)
+    got = rows.select("_h", "_x", "_y").toPandas().sort_values("_h", kind="stable")
     x = np.array(got["_x"].tolist(), np.float32).reshape(len(got), len(FEATURES))
     order = np.lexsort((*x.T, got["_y"].to_numpy()))
     return fit(x[order], got["_y"].to_numpy(float)[order])
