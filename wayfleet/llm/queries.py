@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfleet.llm import bpe, dart_minhash, line_dedup, mixing, pii, quality_model, quality_rules, sharding, topk, url_trust
+from wayfleet.llm import bpe, dart_minhash, line_dedup, mixing, pii, quality_model, quality_rules, sharding, topk, url_trust, word_bpe
 from wayfleet.llm.common import table
 
 
@@ -73,10 +73,15 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr", "kept")
 
 
+def op13_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count and digests of ids and decoded text of every document."""
+    return word_bpe.tokenize(table(spark, sf_dir, "documents").select("doc_id", "text"), ids=False)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of the operators by name."""
     own = [
         op1_sharding, op2_near_dedup, op3_top_k, op4_byte_bpe, op5_url_trust, op6_line_dedup, op7_mixing,
-        op8_personal_data, op9_quality_model, op10_quality_rules,
+        op8_personal_data, op9_quality_model, op10_quality_rules, op13_word_bpe,
     ]
     return {query.__name__: query for query in own}
