@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfleet.llm import bpe, dart_minhash, line_dedup, mixing, pii, quality_model, quality_rules, sharding, topk, url_trust, word_bpe
-from wayfleet.llm.common import table
+from wayfleet.llm import bpe, dart_minhash, line_dedup, mixing, pii, quality_model, quality_rules, runs, sharding, topk, url_trust, word_bpe
+from wayfleet.llm.common import WORD, filled, table
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +73,30 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr", "kept")
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, a tenth of which is made periodic from some word on."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    words = F.regexp_extract_all(filled(F.col("text")), F.lit(WORD), F.lit(0))
+    code = F.crc32(F.col("doc_id").cast("string"))
+    rows = docs.withColumn("_code", code).withColumn("_words", F.when(F.col("_code") % 10 == 0, words))
+    rows = rows.withColumn("_n", F.size("_words")).withColumn("_g", F.expr("_code div 10"))
+    rows = rows.withColumn("_a", F.expr("if(_n > 0, cast(_g % _n AS int), 0)"))
+    rows = rows.withColumn("_p", F.expr("cast(1 + (_n - _a) div (3 + _g % 8) AS int)"))
+    # the words from the a-th on become copies of the first p of them
+    again = F.expr("slice(flatten(array_repeat(slice(_words, _a + 1, _p), cast((_n - _a) div _p + 1 AS int))), 1, _n - _a)")
+    periodic = F.array_join(F.concat(F.expr("slice(_words, 1, _a)"), again), " ")
+    found = runs.find_runs(rows.select("doc_id", F.when(F.col("_n") > 0, periodic).otherwise(F.col("text")).alias("text")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("from"), (-r["period"]).alias("by"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise(F.lit(""))
+    best = found.withColumn("best", longest)
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.from")).alias("start"), "best.length", (-F.col("best.by")).alias("period"),
+        F.expr("1000 * best.length div -best.by").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words",
+    )
+
+
 def op13_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of ids and decoded text of every document."""
     return word_bpe.tokenize(table(spark, sf_dir, "documents").select("doc_id", "text"), ids=False)
@@ -82,6 +106,6 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of the operators by name."""
     own = [
         op1_sharding, op2_near_dedup, op3_top_k, op4_byte_bpe, op5_url_trust, op6_line_dedup, op7_mixing,
-        op8_personal_data, op9_quality_model, op10_quality_rules, op13_word_bpe,
+        op8_personal_data, op9_quality_model, op10_quality_rules, op11_runs, op13_word_bpe,
     ]
     return {query.__name__: query for query in own}
