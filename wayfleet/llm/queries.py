@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfleet.llm import bpe, dart_minhash, line_dedup, mixing, pii, quality_model, quality_rules, runs, sharding, topk, url_trust, word_bpe
+from wayfleet.llm import bpe, dart_minhash, lexical, line_dedup, mixing, pii, quality_model, quality_rules, runs, sharding, topk, url_trust, word_bpe
 from wayfleet.llm.common import WORD, filled, table
 
 
@@ -97,6 +97,11 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents for every benchmark item."""
+    return lexical.rank_documents(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), 50)
+
+
 def op13_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of ids and decoded text of every document."""
     return word_bpe.tokenize(table(spark, sf_dir, "documents").select("doc_id", "text"), ids=False)
@@ -106,6 +111,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of the operators by name."""
     own = [
         op1_sharding, op2_near_dedup, op3_top_k, op4_byte_bpe, op5_url_trust, op6_line_dedup, op7_mixing,
-        op8_personal_data, op9_quality_model, op10_quality_rules, op11_runs, op13_word_bpe,
+        op8_personal_data, op9_quality_model, op10_quality_rules, op11_runs,
+        op12_lexical_search, op13_word_bpe,
     ]
     return {query.__name__: query for query in own}
