@@ -1,5 +1,7 @@
 import datetime as dt
 import json
+import random
+from collections import Counter
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -10,12 +12,13 @@ from wayfleet.operators import codec
 from wayfleet.operators.correlate import CARRIED, correlate
 from wayfleet.operators.dedup import dedup_stream, dedup_table
 from wayfleet.operators.rollup import speed_rollup
-from wayfleet.operators.trips import truncate_trips
+from wayfleet.operators.trips import gaps, truncate_trips
 from wayfleet.schemas import DESTINATION, KINDS, schema
 from wayfleet.sources.landed import read_landed
 from wayfleet.sources.replay import text_log
 from wayfleet.streaming.live_trips import truncate_stream
 from wayfleet.streaming.land import land, landing_frame, start_landing
+from wayfleet.streaming.silence import silences
 from wayfleet.streaming.supervise import supervise
 
 
@@ -119,27 +122,114 @@ def trip(id_, second, device="d", at=(41.0, -73.0)):
     return json.dumps({**record, "location": list(at)})
 
 
+CLOCK = "11:59:59"
+
+
+def live(spark, batches, tmp_path, *files, name="t", **options):
+    """Live truncation of the batches and a last one, of another device, that moves the clock on."""
+    log = text_log(spark, batches(*files, [gps("clock", CLOCK, "clock")], name=f"{name}-in"))
+    ticks = codec.parse_location(codec.decode(log, schema("gps")))
+    return run(spark, truncate_stream(ticks, **options), tmp_path, name).where("device_id IS DISTINCT FROM 'clock'")
+
+
 def test_live_truncation_across_batches(spark, batches, tmp_path):
     files = (
         [trip("a2", 80), trip("a1", 40), *(trip(f"h{i:03d}", i, "hot") for i in range(150))],
-        [trip("a4", 160, at=DESTINATION), trip("a3", 120), trip("a5", 200), trip("n", 1, "new", at=DESTINATION)],
-        [trip("a6", 240), *(trip(f"h{i:03d}", i, "hot") for i in range(150, 260)), trip("n2", 2, "new")],
+        [trip("a4", 160, at=DESTINATION), trip("a3", 120), trip("a5", 200), trip("n", 101, "new", at=DESTINATION)],
+        [trip("a6", 240), *(trip(f"h{i:03d}", i, "hot") for i in range(150, 260)), trip("n2", 142, "new")],
     )
-    ticks = codec.parse_location(codec.decode(text_log(spark, batches(*files)), schema("gps")))
-    got = run(spark, truncate_stream(ticks), tmp_path)
-    numbers = {r["id"]: r["rn"] for r in got.collect()}
+    numbers = {r["id"]: r["rn"] for r in live(spark, batches, tmp_path, *files).collect()}
     hot = {f"h{i:03d}": i + 1 for i in range(200)}
     assert numbers == {"a1": 1, "a2": 2, "a3": 3, **hot}
 
 
+def test_live_truncation_orders_late_ticks_and_arrivals(spark, batches, tmp_path):
+    files = (
+        [trip("b", 40), trip("d", 100), trip("x", 40, "e"), trip("z", 110, "e")],
+        [trip("a", 0), trip("c", 60)],  # earlier ticks in a later batch
+        [trip("y", 70, "e", at=DESTINATION)],  # the arrival comes after the tick behind it
+    )
+    numbers = {r["id"]: r["rn"] for r in live(spark, batches, tmp_path, *files).collect()}
+    assert numbers == {"a": 1, "b": 2, "c": 3, "d": 4, "x": 1}
+
+
 def test_live_truncation_equals_the_table_form(spark, same, batches, tmp_path):
-    lines = [trip(f"x{i:04d}", i * 7 % 3000, f"d{i % 5 % 4}", DESTINATION if i % 401 == 400 else (41.0, -73.0))
-             for i in range(1500)]
-    lines.append(trip("nowhere", 5, "d1", (None, None)))
-    log = text_log(spark, batches(lines))
-    live = run(spark, truncate_stream(codec.parse_location(codec.decode(log, schema("gps")))), tmp_path)
-    table = codec.parse_location(codec.decode(spark.read.text(str(tmp_path / "in")), schema("gps")))
-    assert same(truncate_trips(table), live)
+    rng = random.Random(7)
+    rows = [(i * 7 % 3000, trip(f"x{i:04d}", i * 7 % 3000, f"d{i % 5 % 4}", DESTINATION if i % 401 == 400 else (41.0, -73.0)))
+            for i in range(1500)]
+    rows.append((5, trip("nowhere", 5, "d1", (None, None))))
+    rows.append((9, trip("none", 9, None)))
+    rows.sort(key=lambda r: r[0] + rng.uniform(0, 110))  # later than its turn by less than the delay
+    lines = [line for _, line in rows]
+    files = [lines[i : i + 251] for i in range(0, len(lines), 251)]
+    assert len(files) == 6
+    got = live(spark, batches, tmp_path, *files)
+    table = codec.parse_location(codec.decode(spark.read.text(str(tmp_path / "t-in")), schema("gps")))
+    assert same(truncate_trips(table.where("device_id IS DISTINCT FROM 'clock'")), got)
+
+
+def test_live_truncation_passes_values_unchanged(spark, batches, tmp_path):
+    layout = "id string, device_id string, timestamp timestamp, lat double, lon double, n bigint, seen timestamp"
+    file = [json.dumps({"id": f"r{i}", "device_id": "d", "timestamp": t, "lat": 1.0, "lon": 2.0, "n": n, "seen": "9999-12-31T23:59:59.999999"})
+            for i, (t, n) in enumerate([("2024-01-01T00:00:00.000001", 2**53 + 1), ("9998-12-31T00:00:00", None)])]
+    clock = json.dumps({"id": "c", "device_id": "clock", "timestamp": "9999-12-31T23:59:59"})
+    log = text_log(spark, batches(file, [clock]))
+    rows = log.select(F.from_json("value", layout).alias("r")).select("r.*")
+    got = run(spark, truncate_stream(rows), tmp_path).where("device_id = 'd'").orderBy("id")
+    assert got.dtypes == [*rows.dtypes, ("rn", "bigint")]
+    shown = [tuple(r) for r in got.select("id", F.col("timestamp").cast("string"), "n", F.col("seen").cast("string"), "rn").collect()]
+    last = "9999-12-31 23:59:59.999999"
+    assert shown == [("r0", "2024-01-01 00:00:00.000001", 2**53 + 1, last, 1), ("r1", "9998-12-31 00:00:00", None, last, 2)]
+
+
+def test_state_of_ended_and_silent_devices_goes(spark, batches, tmp_path):
+    files = (
+        [trip(f"t{i}", i, f"d{i}") for i in range(20)],
+        [trip(f"u{i}", 300 + i, f"d{i}", DESTINATION if i % 2 else (41.0, -73.0)) for i in range(20)],
+        [gps("c1", "11:00:00", "clock")],
+        [gps("c2", "11:10:00", "clock")],
+    )
+    log = text_log(spark, batches(*files))
+    ticks = codec.parse_location(codec.decode(log, schema("gps")))
+    query = land(truncate_stream(ticks, forget="20 minutes"), str(tmp_path / "o"), str(tmp_path / "c"), available_now=True)
+    supervise(spark, [query])
+    assert spark.read.parquet(str(tmp_path / "o")).where("device_id <> 'clock'").count() == 30
+    told = spark.read.format("statestore").option("stateVarName", "told").load(str(tmp_path / "c"))
+    assert [r["key"]["device_id"] for r in told.collect()] == ["clock"]
+
+
+def test_silence_is_told_without_a_row_and_again_at_its_end(spark, batches, tmp_path):
+    files = (
+        [trip("a", 0), trip("b", 50), trip("x", 0, "e"), trip("n", 0, None)],
+        [trip("c", 90), trip("clock", 300, "clock")],  # d is quiet from 90 on, e from 0
+        [trip("late", 200), trip("e2", 400, "e"), trip("clock", 460, "clock")],  # late by less than the delay
+        [trip("clock", 900, "clock")],
+    )
+    log = text_log(spark, batches(*files))
+    ticks = codec.parse_location(codec.decode(log, schema("gps")))
+    found = run(spark, silences(ticks), tmp_path).where("device_id IS DISTINCT FROM 'clock'")
+    start = dt.datetime(2024, 1, 1, 10)
+    got = Counter((r["device_id"], (r["since"] - start).seconds, r["until"] and (r["until"] - start).seconds, r["gap_us"]) for r in found.collect())
+    assert got == Counter([
+        ("e", 0, None, None), (None, 0, None, None), ("d", 90, None, None), ("d", 90, 200, 110_000_000), ("e", 0, 400, 400_000_000),
+        ("d", 200, None, None), ("e", 400, None, None),
+    ])
+
+
+def test_silence_equals_gaps_of_the_table(spark, batches, tmp_path):
+    rng = random.Random(3)
+    rows = [(s, trip(f"x{i}", s, f"d{i % 3}")) for i, s in enumerate(rng.choices(range(3400), k=300))]
+    rows.sort(key=lambda r: r[0] + rng.uniform(0, 110))
+    lines = [line for _, line in rows]
+    files = [lines[i : i + 50] for i in range(0, len(lines), 50)]
+    log = text_log(spark, batches(*files, [gps("clock", CLOCK, "clock")]))
+    found = run(spark, silences(codec.parse_location(codec.decode(log, schema("gps")))), tmp_path).where("device_id <> 'clock'")
+    table = codec.parse_location(codec.decode(spark.read.text(str(tmp_path / "in")), schema("gps"))).where("device_id <> 'clock'")
+    want = gaps(table).where("gap_us > 60000000").select("device_id", F.timestamp_micros(F.unix_micros("timestamp") - F.col("gap_us")).alias("since"), F.col("timestamp").alias("until"), "gap_us")
+    closed, open_ = found.where("until IS NOT NULL"), found.where("until IS NULL").select("device_id", "since")
+    assert Counter(closed.collect()) == Counter(want.collect())
+    last = table.groupBy("device_id").agg(F.max("timestamp").alias("since"))
+    assert Counter(open_.join(closed, ["device_id", "since"], "left_anti").collect()) == Counter(last.collect())
 
 
 def sibling_logs(spark, batches):

@@ -120,6 +120,10 @@ UNION ALL SELECT 'd-' || CAST(doc_id AS VARCHAR), true, NULL, text FROM document
         "geofence_arrivals": WITH_TICKS + f"SELECT event_id, device_id, event_ts FROM ticks WHERE {ARRIVED}",
         "trip_truncate": TRUNCATE,
         "trip_truncate_stream": TRUNCATE,
+        "silent_devices": WITH_TICKS + f"""
+SELECT device_id, event_ts AS since, until, epoch_us(until) - epoch_us(event_ts) AS gap_us
+FROM (SELECT device_id, event_ts, lead(event_ts) OVER {BY_DEVICE} AS until FROM ticks)
+WHERE until IS NULL OR epoch_us(until) - epoch_us(event_ts) > 60000000""",
         "trip_legs": WITH_TICKS + f"""
 SELECT event_id, dlat, dlon,
        CASE WHEN lat < 42.3396E0 THEN 1 ELSE -1 END AS lat_dir,

@@ -21,6 +21,7 @@ from wayfleet.sources.landed import cluster_by_tick, read_landed, register
 from wayfleet.sources.replay import table_stream
 from wayfleet.streaming.land import land, landing_frame, start_landing
 from wayfleet.streaming.live_trips import truncate_stream
+from wayfleet.streaming.silence import silences
 from wayfleet.streaming.supervise import supervise
 
 ORDER = ("timestamp", "event_id")
@@ -164,10 +165,40 @@ def trip_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips.truncate_trips(rows, order=ORDER).select("event_id", "device_id", "rn")
 
 
+def _deliveries(spark: SparkSession, rows: DataFrame, folder: str, n: int = 6) -> tuple[DataFrame, str]:
+    """The rows as a stream of ``n`` deliveries by time, of which every third row comes one delivery late, and the delay
+    that covers this. A last record, of device ``clock``, moves the watermark past all others.
+    """
+    first, last = rows.agg(F.unix_seconds(F.min("timestamp")), F.unix_seconds(F.max("timestamp"))).first()
+    first, last = first or 0, last or 0
+    width = (last - first) // n + 1
+    due = F.least((F.unix_seconds("timestamp") - first) / width + F.when(F.col("event_id") % 3 == 0, 1).otherwise(0), F.lit(n))
+    for k in range(n + 1):
+        rows.where(due.cast("int") == k).write.mode("append").parquet(f"{folder}/in")
+    delay = 2 * width + 1
+    clock = {"device_id": F.lit("clock"), "timestamp": F.timestamp_seconds(F.lit(last + delay + 60))}
+    closing = spark.range(1).select([clock.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema])
+    closing.write.mode("append").parquet(f"{folder}/in")
+    files = len(spark.read.schema(rows.schema).parquet(f"{folder}/in").inputFiles())
+    return table_stream(spark, f"{folder}/in", rows.schema, files_per_batch=max(1, files // (n + 2))), f"{delay} seconds"
+
+
 def trip_truncate_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = ticks_stream(spark, sf_dir).select(*TRIP_COLUMNS)
-    kept = truncate_stream(rows, order=ORDER).select("event_id", "device_id", "rn")
-    return _run(spark, kept, shared_dir(spark))
+    """Trip truncation of a stream of several batches with late rows."""
+    folder = shared_dir(spark)
+    rows, delay = _deliveries(spark, ticks(spark, sf_dir).select(*TRIP_COLUMNS), folder)
+    kept = truncate_stream(rows, order=ORDER, delay=delay).select("event_id", "device_id", "rn")
+    return _run(spark, kept, folder, windows=True).where("device_id <> 'clock'")
+
+
+def silent_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gaps of more than a minute on a stream of several batches with late rows, those still open among them."""
+    folder = shared_dir(spark)
+    rows, delay = _deliveries(spark, ticks(spark, sf_dir).select(*TRIP_COLUMNS), folder)
+    told = _run(spark, silences(rows, delay=delay), folder, windows=True).where("device_id <> 'clock'")
+    # a gap that was told while open is told again when it ends
+    gap = told.groupBy("device_id", "since").agg(F.max("until").alias("until"), F.max("gap_us").alias("gap_us"))
+    return _ntz(_ntz(gap, "since"), "until")
 
 
 def trip_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,6 +255,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "geofence_arrivals": geofence_arrivals,
         "trip_truncate": trip_truncate,
         "trip_truncate_stream": trip_truncate_stream,
+        "silent_devices": silent_devices,
         "trip_legs": trip_legs,
         "gap_audit": gap_audit,
         "quality_violations": quality_violations,
