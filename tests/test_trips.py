@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from wayfleet.functions.geo import expected_step
 from wayfleet.operators import trips
 from wayfleet.operators.neighbours import with_previous
-from wayfleet.operators.skew import split_crowded
 from wayfleet.schemas import DESTINATION
 
 T0 = dt.datetime(2024, 1, 1)
@@ -80,7 +79,6 @@ def test_truncation_matches_plain_windows_when_one_device_dominates(spark, same)
         .drop("a")
     )
     assert same(plain, trips.truncate_trips(df))
-    assert same(plain, trips.truncate_trips(df, group_rows=100))
 
 
 def test_truncation_limits_groups_before_the_shuffle(spark):
@@ -108,10 +106,10 @@ def plain_previous(df):
     return df.withColumn("p", F.lag("id").over(w)).select("id", "p")
 
 
-@pytest.mark.parametrize("group_rows", [1_000_000, 60, 10])
-def test_previous_row_equals_a_plain_window(spark, same, group_rows):
+@pytest.mark.parametrize("piece", ["day", "hour", "second"])
+def test_previous_row_equals_a_plain_window(spark, same, piece):
     df = skewed(spark)
-    got = with_previous(df, ["id", "lat"], group_rows=group_rows).select("id", F.col("prev.id").alias("p"))
+    got = with_previous(df, ["id", "lat"], piece=piece).select("id", F.col("prev.id").alias("p"))
     want = plain_previous(df)
     assert got.count() == 1800
     assert same(want, got)
@@ -120,44 +118,43 @@ def test_previous_row_equals_a_plain_window(spark, same, group_rows):
 def test_previous_row_among_copies_of_one_record(spark):
     rows = [(1, "d", 10, 1.0, 2.0)] * 400 + [(2, "d", 20, 3.0, 4.0), (0, "d", 5, 0.0, 0.0)]
     df = frame(spark, rows).repartition(4)
-    got = with_previous(df, ["id"], group_rows=50)
+    got = with_previous(df, ["id"])
     pairs = {(r["id"], r["p"]): r["n"] for r in
              got.groupBy("id", F.col("prev.id").alias("p")).agg(F.count("*").alias("n")).collect()}
     assert pairs == {(0, None): 1, (1, 0): 1, (1, 1): 399, (2, 1): 1}
 
 
-def test_previous_row_never_windows_a_whole_crowded_device(spark):
-    """Of a crowded device only border rows reach the window that is partitioned by the device alone."""
-    for hourly in (True, False):
-        df = skewed(spark)
-        if hourly:
-            df = df.filter("timestamp <> timestamp'2024-01-01 02:00:00'")
-        plan = with_previous(df, ["lat"], group_rows=60)._jdf.queryExecution().optimizedPlan().toString().splitlines()
-        at = [i for i, line in enumerate(plan) if "Window [" in line and "_piece#" not in line]
-        # One for the calm devices, whose rows come from the anti join, and one for the borders.
-        assert len(at) == 2
-        assert any("LeftAnti" in line for line in plan[at[0] : at[1]])
-        pieces = next(i for i in range(at[1], len(plan)) if "Window [" in plan[i] and "_piece#" in plan[i])
-        assert any("Filter (" in line for line in plan[at[1] : pieces])
+def test_previous_row_never_windows_a_whole_device(spark):
+    """Only border rows reach the window that is partitioned by the device alone."""
+    plan = with_previous(skewed(spark), ["lat"])._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = [i for i, line in enumerate(plan) if "Window [" in line and "_piece#" not in line]
+    assert len(at) == 1
+    pieces = next(i for i in range(at[0], len(plan)) if "Window [" in plan[i] and "_piece#" in plan[i])
+    assert any("Filter (" in line for line in plan[at[0] : pieces])
 
 
-def test_devices_of_ordinary_size_take_one_shuffle(spark):
-    plan = with_previous(skewed(spark), ["lat"])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+def test_previous_row_shuffles_the_rows_once(spark):
+    got = with_previous(skewed(spark), ["lat"])
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("ReusedExchange") == 1 and "Join" not in plan
 
 
-def test_split_keeps_every_row(spark, same):
-    df = skewed(spark)
-    split = split_crowded(df, "device_id", 100)
-    assert split.crowded_rows == split.crowded.count() == 600
-    assert same(df, split.calm.unionByName(split.crowded))
-    assert split_crowded(df, "device_id", 600).crowded is None
-    assert split_crowded(df.filter("false"), "device_id").crowded is None
+def test_building_the_plans_starts_no_job(spark):
+    tracker, df = spark.sparkContext.statusTracker(), skewed(spark)
+    before = set(tracker.getJobIdsForGroup(None))
+    spark.sparkContext.setJobGroup("plans", "plans")
+    try:
+        trips.legs(df), trips.gaps(df), trips.truncate_trips(df)
+        assert not tracker.getJobIdsForGroup("plans")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert set(tracker.getJobIdsForGroup(None)) == before
 
 
-def test_a_null_device_can_be_crowded(spark, same):
+def test_a_null_device_can_send_most_rows(spark, same):
     df = skewed(spark).withColumn("device_id", F.when(F.col("device_id") != "hot", F.col("device_id")))
-    got = with_previous(df, ["id"], group_rows=60).select("id", F.col("prev.id").alias("p"))
+    got = with_previous(df, ["id"]).select("id", F.col("prev.id").alias("p"))
     want = plain_previous(df)
     assert same(want, got)
 

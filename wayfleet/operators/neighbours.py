@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from wayfleet.operators.skew import GROUP_ROWS, split_crowded
-from wayfleet.session import ensure_checkpoint_dir
-
 PIECE = "_piece"
-SPREAD = "_spread"
+#: Length of a piece of a device's time.
+PIECE_TIME = "hour"
 
 
 def with_previous(
@@ -17,55 +15,23 @@ def with_previous(
     carry: list[str],
     device: str = "device_id",
     order: tuple[str, ...] = ("timestamp", "id"),
-    group_rows: int = GROUP_ROWS,
+    piece: str = PIECE_TIME,
 ) -> DataFrame:
     """Add struct ``prev``: the ``carry`` columns of the device's preceding row, NULL on its first.
 
     ``order`` starts with the event time; ties on all of it are ordered arbitrarily.
 
-    Devices of ordinary size take a plain window: one shuffle. A device with more than
-    ``group_rows`` rows would fill one task, so its order is cut into pieces, a window runs per
-    (device, piece), and only the border rows of the pieces meet in a window over the device.
-    Hours are the pieces unless one of them is too large itself (a burst, a stuck clock, masses of
-    copies); then ranges of even size are.
-    """
-    split = split_crowded(df, device, group_rows)
-    over_device = Window.partitionBy(device).orderBy(*order)
-    calm = split.calm.withColumn("prev", _lag(carry, over_device))
-    if split.crowded is None:
-        return calm
-
-    hourly = split.crowded.withColumn(PIECE, F.date_trunc("hour", F.col(order[0])))
-    largest = hourly.groupBy(device, PIECE).count().agg(F.max("count")).first()[0]
-    if largest <= split.limit:
-        return calm.unionByName(_stitch(hourly, carry, device, order))
-    even = _range_pieces(split.crowded, device, order, 2 * (split.crowded_rows // split.limit + 1))
-    return calm.unionByName(_stitch(even, carry, device, (*order, SPREAD)).drop(SPREAD))
-
-
-def _range_pieces(df: DataFrame, device: str, order: tuple[str, ...], pieces: int) -> DataFrame:
-    """Cut rows into even ranges of the device order.
-
-    The random last key also parts rows that agree on all other keys. Range borders come from a
-    sample, so the assignment is fixed by a checkpoint before two branches of a plan read it.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return (
-        df.withColumn(SPREAD, F.rand(7))
-        .repartitionByRange(pieces, device, *order, SPREAD)
-        .withColumn(PIECE, F.spark_partition_id())
-        .checkpoint()
-    )
-
-
-def _stitch(df: DataFrame, carry: list[str], device: str, order: tuple[str, ...]) -> DataFrame:
-    """Window per (device, piece), then hand each piece's first row the last row before it.
+    A window over a whole device would put a device that sends a large share of all rows into one task. So every
+    device is cut into pieces of time, a window runs per (device, piece), and only the border rows of the pieces, two
+    each at most, meet in a window over the device. There is one path for all devices, and nothing runs until
+    the result is read. ``piece`` is a unit of ``date_trunc``; the rows of one piece of one device are sorted in one task.
 
     Both branches read the same exchange, so the rows are shuffled once.
     """
     inside = Window.partitionBy(device, PIECE).orderBy(*order)
     borders = Window.partitionBy(device).orderBy(*order)
-    rows = df.withColumns({"prev": _lag(carry, inside), "_last": F.lead(F.lit(True)).over(inside).isNull()})
+    cut = df.withColumn(PIECE, F.date_trunc(piece, F.col(order[0])))
+    rows = cut.withColumns({"prev": _lag(carry, inside), "_last": F.lead(F.lit(True)).over(inside).isNull()})
     first = F.col("prev").isNull()
     heads = (
         rows.filter(first | F.col("_last"))

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from wayfleet.functions.geo import expected_step, heading, step_within, within
 from wayfleet.operators.neighbours import with_previous
-from wayfleet.operators.skew import GROUP_ROWS, split_crowded
 from wayfleet.schemas import (
     ARRIVAL_TOLERANCE,
     DESTINATION,
@@ -17,7 +16,6 @@ from wayfleet.schemas import (
 )
 
 ORDER = ("timestamp", "id")
-SALTS = 16
 
 
 def arrivals(ticks: DataFrame, target=DESTINATION, tolerance: float = ARRIVAL_TOLERANCE) -> DataFrame:
@@ -31,27 +29,17 @@ def truncate_trips(
     order: tuple[str, ...] = ORDER,
     target=DESTINATION,
     max_ticks: int = MAX_TICKS,
-    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Each device's ticks before its first arrival, ``max_ticks`` at most, numbered in ``rn``. Batch only.
 
     No row past ``max_ticks`` is ever published, whatever it says, so the first ``max_ticks`` rows of
     a device decide everything. Spark turns that limit into a group limit ahead of the shuffle: a
-    task passes on at most ``max_ticks`` rows of a device. Over very many tasks that still adds up
-    for a device that is in all of them, so the rows of devices above ``group_rows`` are first
-    limited per (device, salt) and bring at most ``SALTS * max_ticks`` rows to the final window.
+    task passes on at most ``max_ticks`` rows of a device, however many it has.
     """
-    split = split_crowded(ticks, device, group_rows)
-    leading = split.calm
-    if split.crowded is not None:
-        # A salt by task rather than by value also spreads rows that are copies of one record.
-        salted = split.crowded.withColumn("_salt", F.spark_partition_id() % SALTS)
-        leading = leading.unionByName(_first_rows(salted, [device, "_salt"], order, max_ticks).drop("_salt"))
-
     trip = Window.partitionBy(device).orderBy(*order)
     arrived = F.coalesce(within(F.col("lat"), F.col("lon"), target), F.lit(False))
     return (
-        _first_rows(leading, [device], order, max_ticks, "rn")
+        _first_rows(ticks, device, order, max_ticks)
         .withColumn("rn", F.col("rn").cast("bigint"))
         .withColumn("_arrived", F.max(arrived).over(trip.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
         .filter(~F.col("_arrived"))
@@ -59,20 +47,16 @@ def truncate_trips(
     )
 
 
-def _first_rows(
-    df: DataFrame, keys: list[str], order: tuple[str, ...], n: int, number: str | None = None
-) -> DataFrame:
-    """The first ``n`` rows per key, numbered in ``number`` if that is given."""
-    numbered = df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    first = numbered.filter(F.col("_n") <= n)
-    return first.withColumnRenamed("_n", number) if number else first.drop("_n")
+def _first_rows(df: DataFrame, device: str, order: tuple[str, ...], n: int) -> DataFrame:
+    """The first ``n`` rows per device, numbered in ``rn``."""
+    return df.withColumn("rn", F.row_number().over(Window.partitionBy(device).orderBy(*order))).filter(F.col("rn") <= n)
 
 
 def legs(
-    ticks: DataFrame, device: str = "device_id", order: tuple[str, ...] = ORDER, target=DESTINATION, **limits
+    ticks: DataFrame, device: str = "device_id", order: tuple[str, ...] = ORDER, target=DESTINATION
 ) -> DataFrame:
     """Movement since the device's previous tick, heading per axis and the step-size check."""
-    moved = with_previous(ticks, ["lat", "lon"], device, order, **limits)
+    moved = with_previous(ticks, ["lat", "lon"], device, order)
     moved = moved.withColumns(
         {"dlat": F.col("lat") - F.col("prev.lat"), "dlon": F.col("lon") - F.col("prev.lon")}
     )
@@ -87,11 +71,11 @@ def legs(
 
 
 def gaps(
-    ticks: DataFrame, device: str = "device_id", order: tuple[str, ...] = ORDER, **limits
+    ticks: DataFrame, device: str = "device_id", order: tuple[str, ...] = ORDER
 ) -> DataFrame:
     """Microseconds since the device's previous tick and whether the gap is a regular one."""
     time = order[0]
-    timed = with_previous(ticks, [time], device, order, **limits)
+    timed = with_previous(ticks, [time], device, order)
     gap = F.unix_micros(time) - F.unix_micros(f"prev.{time}")
     return (
         timed.withColumn("gap_us", gap)
