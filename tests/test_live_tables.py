@@ -1,0 +1,110 @@
+"""Figures and tables that the running job keeps: accounts of every batch, the stored roll-up."""
+
+import json
+import os
+from collections import Counter
+from pathlib import Path
+
+from pyspark.sql import functions as F
+
+from wayfleet.config import JobConfig
+from wayfleet.operators import codec
+from wayfleet.operators.rollup import speed_rollup
+from wayfleet.schemas import KINDS, schema
+from wayfleet.sources.replay import text_log
+from wayfleet.sources.versions import Versions
+from wayfleet.streaming.accounting import accounts, batch_accounts, unaccounted
+from wayfleet.streaming.land import land_supervised
+from wayfleet.streaming.stored_rollup import read_rollup, store_rollup
+from wayfleet.streaming.supervise import supervise
+
+
+def record(id_, clock, speed=20.0, device="d"):
+    time = clock and f"2024-01-01T{clock}"
+    return json.dumps({"id": id_, "device_id": device, "timestamp": time, "location": [1.0, 2.0], "speed": speed})
+
+
+def uncommit(folder, back=1):
+    """Forget that the last batches were committed, as if the driver had been lost in the first of them; its number."""
+    done = sorted(int(p.name) for p in Path(folder, "commits").iterdir() if p.name.isdigit())[-back:]
+    for log, numbers in (("commits", done), ("offsets", done[1:])):
+        for n in numbers:
+            os.remove(Path(folder, log, str(n)))
+            Path(folder, log, f".{n}.crc").unlink(missing_ok=True)
+    return done[0]
+
+
+def figures(frame):
+    return {r["topic"]: (r["read"], r["landed"], r["undecodable"], r["without_time"]) for r in frame.collect()}
+
+
+def test_accounts_count_every_batch_once(spark, batches, tmp_path):
+    config = JobConfig(root=str(tmp_path / "root"), account=True)
+    files = ([record("a", "10:00:00"), "oops", record("b", None)], [record("c", "10:01:00"), '{"k": 1}'])
+    folders = {kind: batches(*files, name=kind) for kind in KINDS}
+
+    def logs():
+        return {kind: text_log(spark, folder) for kind, folder in folders.items()}
+
+    land_supervised(spark, config, logs(), available_now=True)
+    want = dict.fromkeys(config.topics.values(), (5, 5, 2, 1))
+    assert figures(accounts(spark, config)) == want
+    assert batch_accounts(spark, config).count() == 10
+    # the last batch of one topic runs again under its number
+    batch = uncommit(config.checkpoint("gps"))
+    land_supervised(spark, config, logs(), available_now=True)
+    assert figures(accounts(spark, config)) == want
+    # figures that were lost with the driver are named
+    assert unaccounted(spark, config).count() == 0
+    os.remove(f"{config.root}/accounts/gps_data/{batch:012d}.json")
+    assert [tuple(r) for r in unaccounted(spark, config).collect()] == [("gps_data", batch)]
+
+
+def test_accounts_tell_landed_from_read(spark, batches, tmp_path):
+    config = JobConfig(root=str(tmp_path / "root"), account=True, dedup=True, quarantine=True)
+    files = ([record("a", "10:00:00"), record("a", "10:00:00")], [record("a", "10:00:00"), "oops", "oops"])
+    folders = {kind: batches(*files, name=kind) for kind in KINDS}
+    land_supervised(spark, config, {kind: text_log(spark, f) for kind, f in folders.items()}, available_now=True)
+    assert figures(accounts(spark, config))["gps_data"] == (5, 2, 2, 0)
+
+
+def test_stored_rollup_holds_open_windows_and_replays(spark, batches, tmp_path):
+    folder = batches(
+        [record("a", "10:00:00"), record("b", "10:30:00", 30.5)],
+        [record("c", "10:31:00", 10.0), record("late", "10:29:30", 5.0), record("e", "23:59:00", device="e")],
+        [record("f", "23:59:30", 1.0, "e"), record("none", "23:58:00", None, "e")],
+    )
+    table, checkpoint = str(tmp_path / "table"), str(tmp_path / "cp")
+
+    def start():
+        records = codec.decode(text_log(spark, folder), schema("gps"))
+        query = store_rollup(records, table, checkpoint, width="5 minutes", keep=2, available_now=True)
+        supervise(spark, [query])
+        return Counter(read_rollup(spark, table).collect())
+
+    rows = codec.decode(spark.read.text(folder), schema("gps"))
+    want = Counter(speed_rollup(rows, width="5 minutes").collect())
+    assert start() == want and len(want) == 4
+    numbers = Versions(spark, table).numbers()
+    assert len(numbers) == 2
+    assert read_rollup(spark, table, numbers[0]).agg(F.sum("n")).first()[0] == 5
+    # a batch that was not committed runs again: same table, same versions
+    assert uncommit(checkpoint, 2) == numbers[-1]  # the very last batch only moved the watermark
+    assert start() == want and Versions(spark, table).numbers() == numbers
+    # nothing but what the kept versions use is left
+    used = {f"batch={b}/day={d}" for n in numbers for d, b in Versions(spark, table).get(n)["days"].items()}
+    assert {str(p.relative_to(table)) for p in Path(table).glob("batch=*/day=*")} == used
+
+
+def test_reading_a_rollup_that_is_not_there(spark, tmp_path):
+    assert read_rollup(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_versions_are_replaced_and_expire(spark, tmp_path):
+    versions = Versions(spark, str(tmp_path / "v"))
+    assert versions.latest() is None
+    for n in (3, 1, 2, 3):
+        versions.publish(n, {"n": n, "all": versions.numbers()})
+    assert versions.latest() == (3, {"n": 3, "all": [1, 2, 3]})
+    assert versions.latest(below=3)[0] == 2
+    assert [v["n"] for v in versions.expire(1)] == [1, 2] and versions.numbers() == [3]

@@ -33,6 +33,8 @@ class JobConfig:
     # Opt-in extras; without them every row lands as it was decoded.
     quarantine: bool = False
     dedup: bool = False
+    # Count what every batch reads, lands and cannot use (streaming.accounting).
+    account: bool = False
     # How long after its first arrival a record is known; the state holds the keys of this time.
     dedup_delay: str = "1 hour"
 

@@ -111,6 +111,13 @@ UNION ALL SELECT 'd-' || CAST(doc_id AS VARCHAR), true, NULL, text FROM document
         "correlate_clustered": CORRELATE,
         "landing_counts": counts,
         "fan_out_counts": counts,
+        "landing_accounts": WITH_RECORDS.rstrip() + """,
+log AS (""" + _union("SELECT '{kind}' AS kind, '{topic}' AS topic FROM {kind}") + """),
+foreign_rows AS (SELECT 'vehicle_data' AS topic, count(*) AS n FROM events UNION ALL SELECT 'weather_data', count(*) FROM documents),
+undated AS (SELECT count(*) AS n FROM ticks WHERE k % 10 = 0)
+SELECT topic, 2 * (count(*) + coalesce(any_value(f.n), 0)) AS read, 2 * (count(*) + coalesce(any_value(f.n), 0)) AS landed,
+       2 * coalesce(any_value(f.n), 0) AS undecodable, 2 * any_value(u.n) AS without_time
+FROM log LEFT JOIN foreign_rows f USING (topic), undated u GROUP BY topic""",
         "publish_log": WITH_RECORDS
         + _union(
             "SELECT '{topic}' AS topic, id AS record_key, id, device_id, \"timestamp\", lat, lon FROM {kind}"
@@ -147,6 +154,10 @@ FROM gps
 WHERE time_bucket(INTERVAL 1 HOUR, "timestamp") + INTERVAL 1 HOUR
       <= (SELECT max("timestamp") - INTERVAL 2 MINUTE FROM gps)
 GROUP BY ALL""",
+        "rollup_store": WITH_TICKS + """
+SELECT time_bucket(INTERVAL 1 HOUR, event_ts) AS window_start, device_id, count(*) AS n,
+       CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS sum_cents
+FROM ticks GROUP BY ALL""",
         "catalog_sql": WITH_RECORDS
         + "SELECT incident_type, status, count(*) AS n FROM emergency GROUP BY incident_type, status",
     }

@@ -19,9 +19,11 @@ from wayfleet.schemas import DEFAULT_TOPICS, KINDS, schema
 from wayfleet.session import settings, shared_dir, tune
 from wayfleet.sources.landed import cluster_by_tick, read_landed, register
 from wayfleet.sources.replay import table_stream
-from wayfleet.streaming.land import land, landing_frame, start_landing
+from wayfleet.streaming.accounting import accounts
+from wayfleet.streaming.land import land, land_supervised, landing_frame, start_landing
 from wayfleet.streaming.live_trips import truncate_stream
 from wayfleet.streaming.silence import silences
+from wayfleet.streaming.stored_rollup import read_rollup, store_rollup
 from wayfleet.streaming.supervise import supervise
 
 ORDER = ("timestamp", "event_id")
@@ -129,6 +131,25 @@ def landing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.topic_counts(quality.tag_topics(landed, config.topics))
 
 
+def landing_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures of the landing job over topics with records of another layout, prose and records without time, in two
+    runs on one checkpoint: the second finds new files only."""
+    config = JobConfig(root=shared_dir(spark), account=True)
+    tick_rows, events = ticks(spark, sf_dir), spark.read.parquet(f"{sf_dir}/events.parquet")
+    timeless = tick_rows.withColumn("timestamp", F.when(F.col("k") % 10 != 0, F.col("timestamp")))
+    values = {kind: codec.encode(df) for kind, df in records(timeless).items()}
+    values["vehicle"] = values["vehicle"].select("value").unionByName(events.select(F.col("props").cast("binary").alias("value")))
+    prose = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("text").cast("binary").alias("value"))
+    values["weather"] = values["weather"].select("value").unionByName(prose)
+    logs = {kind: df.select("value") for kind, df in values.items()}
+    for _ in range(2):
+        for kind, log in logs.items():
+            log.write.mode("append").parquet(f"{config.root}/log/{kind}")
+        streams = {kind: table_stream(spark, f"{config.root}/log/{kind}", log.schema, files_per_batch=1) for kind, log in logs.items()}
+        land_supervised(spark, config, streams, available_now=True)
+    return accounts(spark, config)
+
+
 def encode_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     return codec.decode(codec.encode(events, key="event_id"), events.schema)
@@ -165,9 +186,9 @@ def trip_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips.truncate_trips(rows, order=ORDER).select("event_id", "device_id", "rn")
 
 
-def _deliveries(spark: SparkSession, rows: DataFrame, folder: str, n: int = 6) -> tuple[DataFrame, str]:
-    """The rows as a stream of ``n`` deliveries by time, of which every third row comes one delivery late, and the delay
-    that covers this. A last record, of device ``clock``, moves the watermark past all others.
+def _deliveries(spark: SparkSession, rows: DataFrame, folder: str, n: int = 4) -> tuple[DataFrame, str]:
+    """The rows as a stream of ``n`` + 1 deliveries by time, of which every third row comes one delivery late, and the
+    delay that covers this. A last record, of device ``clock``, moves the watermark past all others.
     """
     first, last = rows.agg(F.unix_seconds(F.min("timestamp")), F.unix_seconds(F.max("timestamp"))).first()
     first, last = first or 0, last or 0
@@ -176,7 +197,7 @@ def _deliveries(spark: SparkSession, rows: DataFrame, folder: str, n: int = 6) -
     for k in range(n + 1):
         rows.where(due.cast("int") == k).write.mode("append").parquet(f"{folder}/in")
     delay = 2 * width + 1
-    clock = {"device_id": F.lit("clock"), "timestamp": F.timestamp_seconds(F.lit(last + delay + 60))}
+    clock = {"device_id": F.lit("clock"), "timestamp": F.timestamp_seconds(F.lit(last + delay + 3600))}
     closing = spark.range(1).select([clock.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema])
     closing.write.mode("append").parquet(f"{folder}/in")
     files = len(spark.read.schema(rows.schema).parquet(f"{folder}/in").inputFiles())
@@ -228,6 +249,15 @@ def rollup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(rolled, "window_start").select("window_start", "device_id", "n", "sum_cents")
 
 
+def rollup_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored roll-up after a stream of several batches with late rows: all windows, open ones too."""
+    folder = shared_dir(spark)
+    rows, delay = _deliveries(spark, ticks(spark, sf_dir).select(*TRIP_COLUMNS, F.col("value").alias("speed")), folder)
+    supervise(spark, [store_rollup(rows, f"{folder}/table", f"{folder}/checkpoint", delay=delay, available_now=True)])
+    stored = read_rollup(spark, f"{folder}/table").where("device_id <> 'clock'")
+    return _ntz(stored, "window_start").select("window_start", "device_id", "n", "sum_cents")
+
+
 def catalog_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = _landed_job(spark, sf_dir)
     register(spark, "wayfleet_landed", config)
@@ -248,6 +278,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "correlate_stream": correlate_stream,
         "correlate_clustered": correlate_clustered,
         "landing_counts": landing_counts,
+        "landing_accounts": landing_accounts,
         "encode_roundtrip": encode_roundtrip,
         "fan_out_counts": fan_out_counts,
         "publish_log": publish_log,
@@ -261,6 +292,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quality_violations": quality_violations,
         "reconcile_topics": reconcile_topics,
         "rollup_stream": rollup_stream,
+        "rollup_store": rollup_store,
         "catalog_sql": catalog_sql,
     }
 

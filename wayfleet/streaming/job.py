@@ -6,8 +6,7 @@ import argparse
 
 from wayfleet.config import JobConfig
 from wayfleet.session import build_session
-from wayfleet.streaming.land import start_landing
-from wayfleet.streaming.supervise import supervise
+from wayfleet.streaming.land import land_supervised
 
 
 def parse(argv: list[str] | None = None) -> tuple[JobConfig, bool]:
@@ -20,6 +19,7 @@ def parse(argv: list[str] | None = None) -> tuple[JobConfig, bool]:
     parser.add_argument("--partition-by-date", action="store_true", help="add event_date folders")
     parser.add_argument("--quarantine", action="store_true", help="keep undecodable text, in verdict=bad folders")
     parser.add_argument("--dedup", action="store_true", help="drop records re-delivered within an hour of their first arrival; later copies are kept")
+    parser.add_argument("--account", action="store_true", help="keep the figures of every batch below <root>/accounts")
     parser.add_argument("--available-now", action="store_true", help="land what the topics hold and end")
     given = {k: v for k, v in vars(parser.parse_args(argv)).items() if v is not None}
     available_now = given.pop("available_now")
@@ -29,4 +29,4 @@ def parse(argv: list[str] | None = None) -> tuple[JobConfig, bool]:
 def main(argv: list[str] | None = None) -> None:
     config, available_now = parse(argv)
     spark = build_session()
-    supervise(spark, start_landing(spark, config, available_now=available_now))
+    land_supervised(spark, config, available_now=available_now)

@@ -13,6 +13,8 @@ from wayfleet.operators.codec import decode, decode_flagged
 from wayfleet.operators.dedup import dedup_stream
 from wayfleet.schemas import KINDS, schema
 from wayfleet.sources.kafka import topic_stream
+from wayfleet.streaming.accounting import Accounting, observe_landed, observe_read
+from wayfleet.streaming.supervise import supervise
 
 
 def land(
@@ -57,12 +59,16 @@ def landing_frame(log: DataFrame, kind: str, config: JobConfig) -> tuple[DataFra
         records, folders = flagged.withColumn("verdict", verdict).drop("is_bad"), ("verdict",)
     else:
         records, folders = decode(log, schema(kind)), ()
+    if config.account:
+        records = observe_read(records, kind)
     if config.dedup:
         records = dedup_stream(records, delay=config.dedup_delay)
     else:
         records = records.withWatermark("timestamp", config.watermark)
     if config.partition_by_date:
         records, folders = records.withColumn("event_date", F.to_date("timestamp")), (*folders, "event_date")
+    if config.account:
+        records = observe_landed(records, kind)
     return records.alias(kind), folders
 
 
@@ -96,3 +102,25 @@ def start_landing(
             query.stop()
         raise
     return started
+
+
+def land_supervised(
+    spark: SparkSession,
+    config: JobConfig,
+    logs: Mapping[str, DataFrame] | None = None,
+    available_now: bool = False,
+) -> None:
+    """Run the landing job until it ends or a query of it fails, with the figures of every batch if ``config.account``."""
+    if not config.account:
+        supervise(spark, start_landing(spark, config, logs, available_now))
+        return
+    listener = Accounting(spark, config)
+    spark.streams.addListener(listener)
+    try:
+        queries = start_landing(spark, config, logs, available_now)
+        try:
+            supervise(spark, queries)
+        finally:
+            listener.settle(queries)
+    finally:
+        spark.streams.removeListener(listener)
