@@ -1,0 +1,79 @@
+"""Compaction of landed tables while the landing query goes on."""
+
+import json
+from collections import Counter
+from pathlib import Path
+
+import pytest
+
+from wayfleet.config import JobConfig
+from wayfleet.schemas import KINDS
+from wayfleet.sources.compaction import committed_files, compact, read_compacted
+from wayfleet.sources.landed import read_landed
+from wayfleet.sources.replay import text_log
+from wayfleet.sources.versions import Versions
+from wayfleet.streaming.land import start_landing
+from wayfleet.streaming.supervise import supervise
+
+
+def lines(batch, n=3):
+    return [json.dumps({"id": f"{batch}-{i}", "device_id": "d é", "timestamp": f"2024-01-0{1 + i}T10:00:00", "speed": 1.5}) for i in range(n)] + ["oops"]
+
+
+def add(folder, batch):
+    Path(folder, f"{batch:03d}.txt").write_text("\n".join(lines(batch)) + "\n")
+
+
+@pytest.mark.parametrize("layout", [{}, {"quarantine": True, "partition_by_date": True}])
+def test_a_running_query_and_its_readers_go_on(spark, batches, tmp_path, layout):
+    config = JobConfig(root=str(tmp_path / "root"), **layout)
+    folders = {kind: batches(*(lines(b) for b in range(12)), name=kind) for kind in KINDS}
+
+    def run():
+        logs = {kind: text_log(spark, f) for kind, f in folders.items()}
+        supervise(spark, start_landing(spark, config, logs, available_now=True))
+
+    def rows(read):
+        frame = read(spark, config, "gps")
+        return Counter(map(repr, frame.select(sorted(frame.columns)).collect()))
+
+    def same():
+        landed = spark.read.parquet(config.output("gps"))
+        got = read_compacted(spark, config, "gps")
+        assert sorted(got.dtypes) == sorted(landed.dtypes)
+        return rows(read_compacted) == Counter(map(repr, landed.select(sorted(landed.columns)).collect()))
+
+    assert compact(spark, config, "gps") == 0 and read_compacted(spark, config, "gps").count() == 0
+    run()
+    assert same()
+    before = read_compacted(spark, config, "gps")
+    n = committed_files(spark, config.output("gps")).count()
+    assert compact(spark, config, "gps") == n and n >= 12
+    assert same()
+    parts = list(Path(config.root, "compacted/gps_data/rows").rglob("*.parquet"))
+    assert len(parts) < n
+    # the query goes on: its new rows are seen at once, and the reader from before still works
+    for kind in KINDS:
+        add(folders[kind], 50)
+    run()
+    assert before.count() == 48 and same() and sum(rows(read_compacted).values()) == 52
+    # only the new files are rewritten; the old part stays as it is
+    assert 0 < compact(spark, config, "gps") < 12
+    assert compact(spark, config, "gps") == 0
+    assert same() and set(parts) < set(Path(config.root, "compacted/gps_data/rows").rglob("*.parquet"))
+
+
+def test_a_failed_run_is_not_seen_and_is_repeated(spark, batches, tmp_path, monkeypatch):
+    config = JobConfig(root=str(tmp_path / "root"))
+    folders = {kind: batches(lines(0), lines(1), name=kind) for kind in KINDS}
+    supervise(spark, start_landing(spark, config, {k: text_log(spark, f) for k, f in folders.items()}, available_now=True))
+    # a file of a batch that was never committed
+    stray = next(Path(config.output("gps")).glob("*.parquet"))
+    Path(config.output("gps"), "stray.parquet").write_bytes(stray.read_bytes())
+    with monkeypatch.context() as broken:
+        broken.setattr(Versions, "publish", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            compact(spark, config, "gps")
+    assert read_compacted(spark, config, "gps").count() == 8
+    assert compact(spark, config, "gps") == 2
+    assert read_compacted(spark, config, "gps").count() == read_landed(spark, config, "gps").count() == 8

@@ -1,7 +1,9 @@
 import datetime as dt
 import os
+import shutil
 
 import pytest
+from pyspark.sql import functions as F
 
 from wayfleet.config import JobConfig
 from wayfleet.operators import quality
@@ -11,7 +13,7 @@ from wayfleet.plans.ticks import records, ticks, ticks_stream
 from wayfleet.schemas import DEFAULT_TOPICS, KINDS, schema
 from wayfleet.session import shared_dir
 from wayfleet.sources import kafka
-from wayfleet.sources.landed import cluster_by_tick, landed_folders, read_landed, register
+from wayfleet.sources.landed import cluster_by_tick, crawl, landed_folders, read_landed, register
 from wayfleet.streaming.job import main, parse
 from wayfleet.streaming.land import start_landing
 from wayfleet.streaming.supervise import supervise
@@ -109,6 +111,39 @@ def test_reconcile_shows_topics_of_either_side(spark):
     assert got == {"a": (3, 3, 1, 0, 1), "b": (1, 0, 1, 0, 0), "c": (0, 1, 0, 1, 0)}
 
 
+def test_a_second_crawl_changes_only_what_is_new(spark, tmp_path):
+    config = JobConfig(root=str(tmp_path), partition_by_date=True)
+    gps, other = config.output("gps"), f"{config.root}/output/other"
+    rows = spark.createDataFrame([("a", "d", None, None, 1.0)], schema("gps")).withColumn("event_date", F.lit("2024-01-01").cast("date"))
+    rows.write.partitionBy("event_date").parquet(gps)
+    spark.range(3).write.parquet(other)
+    assert [f[:2] for f in crawl(spark, "crawled", config)] == [("gps_data", "created"), ("gps_data", "partitions"), ("other", "created")]
+    assert crawl(spark, "crawled", config) == []
+    reader = spark.table("crawled.other")
+    # a new partition, a new column with rows that do not have it, and a folder that goes
+    rows.withColumn("event_date", F.lit("2024-01-02").cast("date")).write.mode("append").partitionBy("event_date").parquet(gps)
+    spark.range(3, 5).withColumn("Näme", F.lit("x")).write.mode("append").parquet(other)
+    found = crawl(spark, "crawled", config)
+    assert found == [("gps_data", "partitions", "1"), ("other", "added", "`Näme` string")]
+    assert spark.table("crawled.gps_data").count() == 2 and reader.count() == 3
+    assert spark.table("crawled.other").where("`Näme` IS NULL").count() == 3 and spark.table("crawled.other").count() == 5
+    assert crawl(spark, "crawled", config) == []
+
+
+def test_a_crawl_reports_types_that_differ(spark, tmp_path):
+    config = JobConfig(root=str(tmp_path))
+    for name, first, then in (("same", "bigint", "string"), ("grown", "string", "string")):
+        folder = f"{config.root}/output/{name}"
+        spark.range(2).select(F.col("id").cast(first).alias("c")).write.parquet(folder)
+        crawl(spark, "conflicting", config)
+        spark.range(2).select(F.col("id").cast(then).alias("c")).write.mode("append").parquet(folder)
+    found = crawl(spark, "conflicting", config)
+    assert [(f.table, f.action) for f in found] == [("same", "conflict")] and "BIGINT" in found[0].detail
+    assert spark.table("conflicting.grown").count() == 4
+    shutil.rmtree(f"{config.root}/output/grown")
+    assert ("grown", "gone", "") in crawl(spark, "conflicting", config)
+
+
 def test_a_quote_in_the_root_does_not_break_registration(spark, tmp_path):
     config = JobConfig(root=str(tmp_path / "driver's"))
     rows = spark.createDataFrame([("a", "d", None, None, 1.0)], schema("gps"))

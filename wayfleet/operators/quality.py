@@ -1,4 +1,4 @@
-"""Value-domain checks and delivery accounting. Batch only."""
+"""Value-domain checks and delivery accounting. Batch only, but for ``violations_by_window``."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfleet.schemas import DOMAINS
+from wayfleet.schemas import DOMAINS, WATERMARK
 
 
 def in_domain(column: str, domain: tuple | list) -> Column:
@@ -33,6 +33,26 @@ def violations(
     return reduce(DataFrame.unionByName, map(check, records))
 
 
+def violations_by_window(
+    records: DataFrame, topic: str, rules: Mapping[str, tuple | list], width: str = "1 hour", delay: str = WATERMARK
+) -> DataFrame:
+    """``topic, window_start, rule, n, violations`` of one record kind, on a table or a stream.
+
+    ``n`` counts the values a rule saw, missing ones left out. On a stream a window comes out, with all its rules, when
+    the watermark has passed its end; rows that arrive later are dropped. Rows without time are in no window.
+    One aggregation covers all rules; partial counts leave one row per task and window.
+    """
+    seen = {f"n_{c}": F.count(c) for c in rules}
+    bad = {f"bad_{c}": F.count_if(~in_domain(c, d)) for c, d in rules.items()}
+    counted = (
+        records.withWatermark("timestamp", delay)
+        .groupBy(F.window("timestamp", width).alias("w"))
+        .agg(*(f.alias(name) for name, f in {**seen, **bad}.items()))
+    )
+    each = [F.struct(F.lit(c).alias("rule"), F.col(f"n_{c}").alias("n"), F.col(f"bad_{c}").alias("violations")) for c in rules]
+    return counted.select(F.lit(topic).alias("topic"), F.col("w.start").alias("window_start"), F.inline(F.array(*each)))
+
+
 def topic_counts(log: DataFrame) -> DataFrame:
     """``topic, n`` of anything with a topic column."""
     return log.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))

@@ -94,6 +94,40 @@ def _violations() -> str:
     return WITH_RECORDS + "\nUNION ALL ".join(parts)
 
 
+def _hourly_violations() -> str:
+    parts = []
+    for kind, rules in DOMAINS.items():
+        for rule, domain in rules.items():
+            test = f"BETWEEN {domain[0]} AND {domain[1]}" if isinstance(domain, tuple) else f"IN ({_quoted(domain)})"
+            parts.append(
+                f"SELECT '{DEFAULT_TOPICS[kind]}' AS topic, time_bucket(INTERVAL 1 HOUR, \"timestamp\") AS window_start, "
+                f"'{rule}' AS rule, count({rule}) AS n, count(*) FILTER (WHERE NOT ({rule} {test})) AS violations FROM {kind} GROUP BY ALL"
+            )
+    return WITH_RECORDS + "\nUNION ALL ".join(parts)
+
+
+HOURLY = """
+SELECT time_bucket(INTERVAL 1 HOUR, event_ts) AS window_start, device_id, count(*) AS n,
+       CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS sum_cents
+FROM ticks GROUP BY ALL"""
+
+
+def _drift() -> str:
+    """Fields of the strange values, counted where they are made, and the schemas' own, which none of these has."""
+    def missing(kind: str, names: str) -> str:
+        return f"SELECT '{DEFAULT_TOPICS[kind]}', unnest([{names}]), NULL, 0::BIGINT, 'missing'"
+
+    lead = "'id', 'device_id', 'timestamp', 'location'"
+    return f"""
+SELECT 'vehicle_data' AS topic, 'k' AS field, 'BIGINT' AS type, count(*) AS n, 'new' AS verdict FROM events
+UNION ALL SELECT 'weather_data', 'doc_id', 'BIGINT', count(*), 'new' FROM documents
+UNION ALL SELECT 'weather_data', 'lang', 'STRING', count(lang), 'new' FROM documents
+UNION ALL SELECT 'weather_data', 'origin', 'OBJECT<n_chars: BIGINT, source: STRING>', count(*), 'new' FROM documents
+UNION ALL SELECT 'weather_data', NULL, NULL, count(*), 'not an object' FROM documents
+UNION ALL {missing('vehicle', lead + ", 'speed', 'make', 'model', 'year'")}
+UNION ALL {missing('weather', lead + ", 'temperature', 'weather_condition', 'precipitation', 'humidity', 'wind_speed', 'air_quality'")}"""
+
+
 def oracle() -> dict[str, str]:
     counts = WITH_RECORDS + _union("SELECT '{topic}' AS topic, count(*) AS n FROM {kind}")
     return {
@@ -154,10 +188,13 @@ FROM gps
 WHERE time_bucket(INTERVAL 1 HOUR, "timestamp") + INTERVAL 1 HOUR
       <= (SELECT max("timestamp") - INTERVAL 2 MINUTE FROM gps)
 GROUP BY ALL""",
-        "rollup_store": WITH_TICKS + """
-SELECT time_bucket(INTERVAL 1 HOUR, event_ts) AS window_start, device_id, count(*) AS n,
-       CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS sum_cents
-FROM ticks GROUP BY ALL""",
+        "rollup_store": WITH_TICKS + HOURLY,
+        "rollup_guarded": WITH_TICKS + f"""
+SELECT false AS ahead, * FROM ({HOURLY}) UNION ALL
+(SELECT true, TIMESTAMP '2999-01-01 00:00:00', device_id, 1, CAST(round(value * 100) AS BIGINT) FROM ticks ORDER BY event_id LIMIT 1)""",
+        "violations_stream": _hourly_violations(),
+        "schema_drift": _drift(),
+        "land_compacted": WITH_TICKS + _record("gps"),
         "catalog_sql": WITH_RECORDS
         + "SELECT incident_type, status, count(*) AS n FROM emergency GROUP BY incident_type, status",
     }

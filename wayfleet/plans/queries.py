@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,12 +11,15 @@ from pyspark.sql.types import StructType
 
 from wayfleet.config import JobConfig
 from wayfleet.operators import codec, quality, trips
+from wayfleet.operators.clock import hold
 from wayfleet.operators.correlate import correlate
 from wayfleet.operators.dedup import dedup_stream
+from wayfleet.operators.drift import field_report
 from wayfleet.operators.rollup import speed_rollup
 from wayfleet.plans.ticks import payloads, records, ticks, ticks_stream
-from wayfleet.schemas import DEFAULT_TOPICS, KINDS, schema
+from wayfleet.schemas import DEFAULT_TOPICS, DOMAINS, KINDS, schema
 from wayfleet.session import settings, shared_dir, tune
+from wayfleet.sources.compaction import compact, read_compacted
 from wayfleet.sources.landed import cluster_by_tick, read_landed, register
 from wayfleet.sources.replay import table_stream
 from wayfleet.streaming.accounting import accounts
@@ -81,6 +84,22 @@ def decode_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flagged.select(F.col("key").cast("string").alias("record_key"), "is_bad", "device_id", "raw")
 
 
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of what the quarantine kept of two topics: JSON of other layouts, and prose."""
+    events, documents = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("events", "documents"))
+    described = F.to_json(F.struct("doc_id", "lang", F.struct("source", "n_chars").alias("origin")))
+    strange = {
+        "vehicle": events.select(F.col("props").alias("value")),
+        "weather": documents.select(F.explode(F.array(described, "text")).alias("value")),
+    }
+    kept = []
+    for kind, values in strange.items():
+        good = codec.encode(records(ticks(spark, sf_dir))[kind]).select(F.col("value").cast("string"))
+        flagged = codec.decode_flagged(good.unionByName(values), schema(kind))
+        kept.append(flagged.where("raw IS NOT NULL").select(F.lit(DEFAULT_TOPICS[kind]).alias("topic"), F.col("raw").alias("value")))
+    return field_report(kept[0].unionByName(kept[1]), {DEFAULT_TOPICS[kind]: schema(kind) for kind in strange})
+
+
 def dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vehicle record delivered three times, each delivery in batches of its own."""
     log, folder = codec.encode(records(ticks(spark, sf_dir))["vehicle"]), shared_dir(spark)
@@ -236,6 +255,16 @@ def quality_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.violations(records(ticks(spark, sf_dir)), DEFAULT_TOPICS)
 
 
+def violations_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule violations per hour on streams of several batches with late rows."""
+    folder = shared_dir(spark)
+    rows, delay = _deliveries(spark, ticks(spark, sf_dir), folder)
+    streams = records(rows)
+    counted = [quality.violations_by_window(streams[kind], DEFAULT_TOPICS[kind], DOMAINS[kind], delay=delay) for kind in KINDS]
+    found = _run(spark, reduce(DataFrame.unionByName, counted), folder, windows=True)
+    return _ntz(found, "window_start")
+
+
 def reconcile_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     produced = quality.tag_topics(records(ticks(spark, sf_dir)), DEFAULT_TOPICS)
     config = _landed_job(spark, sf_dir)
@@ -249,6 +278,23 @@ def rollup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(rolled, "window_start").select("window_start", "device_id", "n", "sum_cents")
 
 
+def rollup_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly roll-up of a stream whose first batch holds a record of the year 2999, and that record's own table."""
+    folder = shared_dir(spark)
+    rows = ticks(spark, sf_dir).select(*TRIP_COLUMNS, F.col("value").alias("speed"))
+    wrong = rows.withColumn("timestamp", F.to_timestamp(F.lit("2999-01-01 00:00:00"))).orderBy("event_id").limit(1)
+    wrong.write.mode("append").parquet(f"{folder}/in")
+    stream, delay = _deliveries(spark, rows, folder)
+    held, ahead = hold(stream)
+    rolled = _run(spark, speed_rollup(held, delay=delay), f"{folder}/held", windows=True)
+    side = _run(spark, ahead, f"{folder}/ahead")
+    cents = F.round(F.col("speed") * 100).cast("bigint").alias("sum_cents")
+    told = rolled.select(F.lit(False).alias("ahead"), "window_start", "device_id", "n", "sum_cents").unionByName(
+        side.select(F.lit(True).alias("ahead"), F.col("timestamp").alias("window_start"), "device_id", F.lit(1).cast("bigint").alias("n"), cents)
+    )
+    return _ntz(told, "window_start")
+
+
 def rollup_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored roll-up after a stream of several batches with late rows: all windows, open ones too."""
     folder = shared_dir(spark)
@@ -258,6 +304,20 @@ def rollup_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(stored, "window_start").select("window_start", "device_id", "n", "sum_cents")
 
 
+def land_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed gps records, compacted between two runs of the landing query and read with what came after."""
+    config = JobConfig(root=shared_dir(spark))
+    log = codec.encode(records(ticks(spark, sf_dir))["gps"])
+    for part in range(2):
+        log.where(F.pmod(F.xxhash64("key"), F.lit(2)) == part).write.mode("append").parquet(f"{config.root}/log")
+        stream = table_stream(spark, f"{config.root}/log", log.schema)
+        frame, _ = landing_frame(stream, "gps", config)
+        supervise(spark, [land(frame, config.output("gps"), config.checkpoint("gps"), available_now=True)])
+        if part == 0:
+            compact(spark, config, "gps")
+    return _ntz(codec.parse_location(read_compacted(spark, config, "gps")))
+
+
 def catalog_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = _landed_job(spark, sf_dir)
     register(spark, "wayfleet_landed", config)
@@ -271,6 +331,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     plain = {
         **{f"decode_{kind}": partial(decode_kind, kind) for kind in KINDS},
         "decode_quarantine": decode_quarantine,
+        "schema_drift": schema_drift,
         "dedup_stream": dedup,
         "watermark_passthrough": watermark_passthrough,
         "land_parquet": land_parquet,
@@ -290,9 +351,12 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "trip_legs": trip_legs,
         "gap_audit": gap_audit,
         "quality_violations": quality_violations,
+        "violations_stream": violations_stream,
         "reconcile_topics": reconcile_topics,
         "rollup_stream": rollup_stream,
+        "rollup_guarded": rollup_guarded,
         "rollup_store": rollup_store,
+        "land_compacted": land_compacted,
         "catalog_sql": catalog_sql,
     }
 

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+import re
+from typing import NamedTuple
+
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from wayfleet.config import JobConfig
 from wayfleet.operators.correlate import TICK, one_per_record
@@ -10,6 +16,10 @@ from wayfleet.schemas import EXTRA, KINDS, LEAD, schema
 from wayfleet.session import settings
 
 
+#: End of the names of tables in the join-ready layout.
+BY_TICK = "_by_tick"
+
+
 def read_landed(spark: SparkSession, config: JobConfig, kind: str) -> DataFrame:
     """One landed table with its known schema (no footer is read to infer it).
 
@@ -38,22 +48,99 @@ def _create_database(spark: SparkSession, database: str, config: JobConfig) -> N
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION {_literal(where)}")
 
 
-def register(spark: SparkSession, database: str, config: JobConfig) -> list[str]:
-    """Create the database and one external table per landed folder; returns the table names.
+class Finding(NamedTuple):
+    """What a crawl did about a table, or could not do."""
+
+    table: str
+    action: str
+    detail: str
+
 
-    Tables of known topics in the plain layout get their fixed schema, others that of their files.
+def crawl(spark: SparkSession, database: str, config: JobConfig) -> list[Finding]:
+    """Bring the database in line with the landed folders: one external table per folder.
+
+    A table that is there stays, and readers with it: only what differs is changed. Found are ``created`` tables, ``added``
+    columns, new ``partitions``, a ``conflict`` (a column of another type than the table's; the table is left as it is)
+    and tables whose folder is ``gone`` (also left). Tables of known topics in the plain layout have their fixed schema,
+    others that of their files' footers, columns of all files together.
     """
-    kinds = {config.topics[kind]: kind for kind in KINDS}
-    plain = not (config.partition_by_date or config.quarantine)
     _create_database(spark, database, config)
+    there = {t.name for t in spark.catalog.listTables(database)}
     folders = landed_folders(spark, f"{config.root.rstrip('/')}/output")
+    found = [Finding(name, "gone", "") for name in sorted(there - folders.keys()) if not name.endswith(BY_TICK)]
     for name, where in folders.items():
-        columns = f"({LEAD}, {EXTRA[kinds[name]]})" if plain and name in kinds else ""
-        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
-        spark.sql(f"CREATE TABLE `{database}`.`{name}` {columns} USING parquet LOCATION {_literal(where)}")
-        if any(column.isPartition for column in spark.catalog.listColumns(f"{database}.{name}")):
-            spark.catalog.recoverPartitions(f"{database}.{name}")
-    return list(folders)
+        table, fields = f"`{database}`.`{name}`", _folder_schema(spark, config, name, where)
+        if name in there and _location(spark, table) != where:  # the database was made for another root
+            spark.sql(f"DROP TABLE {table}")
+            there.discard(name)
+        if name not in there:
+            columns = "" if fields is None else f"({_columns(fields)})"
+            spark.sql(f"CREATE TABLE {table} {columns} USING parquet LOCATION {_literal(where)}")
+            found.append(Finding(name, "created", ""))
+        elif fields is None:
+            read = _merged_schema(spark, where)
+            if isinstance(read, str):
+                found.append(Finding(name, "conflict", read))
+            else:
+                found += _alter(spark, table, name, read)
+        found += _partitions(spark, database, name)
+    return found
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[-1]["data_type"] if rows else ""
+
+
+def _folder_schema(spark: SparkSession, config: JobConfig, name: str, where: str) -> StructType | None:
+    """The fixed schema of a known topic in the plain layout."""
+    kinds = {config.topics[kind]: kind for kind in KINDS}
+    plain = not (config.partition_by_date or config.quarantine)
+    return schema(kinds[name]) if plain and name in kinds else None
+
+
+def _merged_schema(spark: SparkSession, where: str) -> StructType | str:
+    """Columns of all files of a folder, or what is wrong with them."""
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(where).schema
+    except (PySparkException, Py4JError) as error:  # merging runs as a job, whose error comes as it is
+        said = re.search(r"\[[A-Z_]*MERGE[A-Z_.]*\][^\n]*", str(error))
+        if said is None:
+            raise
+        return said[0]
+
+
+def _columns(fields: StructType | list) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+
+
+def _alter(spark: SparkSession, table: str, name: str, read: StructType) -> list[Finding]:
+    """Add the columns that only the files have; tell of those whose types differ."""
+    known = {f.name.lower(): f.dataType for f in spark.table(table).schema}
+    differ = [f for f in read if f.name.lower() in known and known[f.name.lower()] != f.dataType]
+    found = [Finding(name, "conflict", f"{f.name}: table {known[f.name.lower()].simpleString()}, files {f.dataType.simpleString()}") for f in differ]
+    new = [f for f in read if f.name.lower() not in known]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({_columns(new)})")
+        found.append(Finding(name, "added", _columns(new)))
+    return found
+
+
+def _partitions(spark: SparkSession, database: str, name: str) -> list[Finding]:
+    """Add the partitions that are only in the folder."""
+    if not any(column.isPartition for column in spark.catalog.listColumns(f"`{database}`.`{name}`")):
+        return []
+    table = f"`{database}`.`{name}`"
+    before = spark.sql(f"SHOW PARTITIONS {table}").count()
+    spark.sql(f"MSCK REPAIR TABLE {table} ADD PARTITIONS")
+    new = spark.sql(f"SHOW PARTITIONS {table}").count() - before
+    return [Finding(name, "partitions", str(new))] if new else []
+
+
+def register(spark: SparkSession, database: str, config: JobConfig) -> list[str]:
+    """Create the database and one external table per landed folder, or bring them up to date; returns the table names."""
+    crawl(spark, database, config)
+    return list(landed_folders(spark, f"{config.root.rstrip('/')}/output"))
 
 
 def cluster_by_tick(spark: SparkSession, database: str, config: JobConfig, buckets: int) -> list[str]:
@@ -69,7 +156,7 @@ def cluster_by_tick(spark: SparkSession, database: str, config: JobConfig, bucke
     with settings(spark, {"spark.sql.shuffle.partitions": str(buckets)}):
         for kind in KINDS:
             topic = config.topics[kind]
-            name = f"{database}.{topic}_by_tick"
+            name = f"{database}.{topic}{BY_TICK}"
             (
                 one_per_record(read_landed(spark, config, kind), "id")
                 .write.bucketBy(buckets, *TICK)
