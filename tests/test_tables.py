@@ -138,7 +138,7 @@ def test_a_crawl_reports_types_that_differ(spark, tmp_path):
         crawl(spark, "conflicting", config)
         spark.range(2).select(F.col("id").cast(then).alias("c")).write.mode("append").parquet(folder)
     found = crawl(spark, "conflicting", config)
-    assert [(f.table, f.action) for f in found] == [("same", "conflict")] and "BIGINT" in found[0].detail
+    assert [(f.table, f.action) for f in found] == [("same", "conflict")] and "MERGE" in found[0].detail
     assert spark.table("conflicting.grown").count() == 4
     shutil.rmtree(f"{config.root}/output/grown")
     assert ("grown", "gone", "") in crawl(spark, "conflicting", config)

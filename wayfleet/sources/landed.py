@@ -104,10 +104,10 @@ def _merged_schema(spark: SparkSession, where: str) -> StructType | str:
     try:
         return spark.read.option("mergeSchema", "true").parquet(where).schema
     except (PySparkException, Py4JError) as error:  # merging runs as a job, whose error comes as it is
-        said = re.search(r"\[[A-Z_]*MERGE[A-Z_.]*\][^\n]*", str(error))
-        if said is None:
+        said = re.findall(r"\[[A-Z_]*MERGE[A-Z_.]*\][^\n]*", str(error))
+        if not said:
             raise
-        return said[0]
+        return said[-1]  # the cause
 
 
 def _columns(fields: StructType | list) -> str:
