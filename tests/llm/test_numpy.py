@@ -3,6 +3,7 @@
 import base64
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -56,6 +57,46 @@ def test_mixed_disguises_are_found(text, kind, find):
     assert (kind, find) in [(s.kind, text[s.start:s.end]) for s in pii.find_personal(text)[1]]
 
 
+def plain_spans(text):
+    """The four patterns as they are, each kind by itself."""
+    def luhn(digits):
+        doubled = [d * 2 - 9 * (d > 4) if i % 2 else d for i, d in enumerate(map(int, reversed(digits)))]
+        return sum(doubled) % 10 == 0
+
+    def digits(m):
+        return re.sub("[^0-9]", "", m[0])
+
+    found = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    found += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(p) <= 255 for p in m[0].split("."))]
+    found += [("card", *m.span()) for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text) if 13 <= len(digits(m)) <= 19 and luhn(digits(m))]
+    return found + [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 9 <= len(digits(m)) <= 15]
+
+
+def test_base_finds_equal_the_plain_patterns():
+    rng = random.Random(12)
+    parts = ["1", "25", "256", "0" * 25 + "7", ".", "..", "+", "+49", " ", "-", "(", ")", "@", "a", "b.c", "%", "4111 1111 1111 1111", "4111-1111-1111-1111", "5500000000000004", "٣", "é"]
+    for _ in range(6000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
+        base, every = pii.find_personal(text)
+        assert [tuple(s) for s in base] == plain_spans(text), text
+        assert set(base) <= set(every)
+
+
+def test_zeros_before_a_part_do_not_hide_an_address():
+    assert pii.find_personal("x " + "0" * 25 + "1.2.3.4")[0] == [("ip", 2, 34)]
+
+
+@pytest.mark.parametrize("unit", ["1", ".", "-", "a_", " ", "a dot ", "at ", "1.", "one two ", "a@b.cd ", "a (at) b (dot) cd ", "(", "x at a dot ", "x" * 400 + "а"])
+def test_search_takes_time_in_proportion(unit):
+    def seconds(n):
+        text = unit * (n // len(unit)) + " one two three"
+        start = time.perf_counter()
+        pii.find_personal(text)
+        return time.perf_counter() - start
+
+    assert seconds(1_000_000) < 5
+
+
 def test_clean_text_has_no_finds():
     for text in ("look at example.com and", "one two three, four.", "un un un un la", "", "a@b", "300.1.1.1", "1234 5678 9012 3456"):
         assert pii.find_personal(text) == ([], [])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -15,9 +16,10 @@ from wayfleet.llm.common import without
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
+_DOTTED = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+_SPACE = re.compile(r"\s")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 
 
@@ -50,12 +52,24 @@ def emails(text: str) -> Iterator[Span]:
             last = m.end()
 
 
+def ips(text: str) -> Iterator[Span]:
+    """Leftmost, non-overlapping fours of numbers with dots between, each at most 255 whatever its zeros. A chain of
+    numbers is read once: its first four are the first match, and the next one starts behind them."""
+    for m in _DOTTED.finditer(text):
+        parts = m[0].split(".")
+        at = m.start()
+        for i in range(0, len(parts) - 3, 4):
+            four = parts[i : i + 4]
+            end = at + sum(map(len, four)) + 3
+            if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in four):
+                yield Span("ip", at, end)
+            at = end + 1
+
+
 def base_spans(text: str) -> list[Span]:
     """Addresses, IPv4 addresses, card numbers and phone numbers as written, each kind by itself."""
     found = list(emails(text)) if "@" in text else []
-    for m in _IP.finditer(text):
-        if all(len(p) < 20 and int(p) <= 255 for p in m[0].split(".")):
-            found.append(Span("ip", *m.span()))
+    found += ips(text)
     for m in _CARD.finditer(text):
         digits = _NOT_DIGIT.sub("", m[0])
         if 13 <= len(digits) <= 19 and luhn(digits):
@@ -88,10 +102,11 @@ SIGNS = {"at": "@", "arobase": "@", "arroba": "@", "klammeraffe": "@", "dot": ".
 
 _ODD = re.compile("[" + re.escape("".join(map(chr, sorted({*_GLYPHS, *_HIDDEN})))) + "]")
 _SIGN = "|".join(sorted(SIGNS, key=len, reverse=True))
-_BRACKET = re.compile(rf"[ \t]*(?:\([ \t]*({_SIGN}|@|\.)[ \t]*\)|\[[ \t]*({_SIGN}|@|\.)[ \t]*\]|\{{[ \t]*({_SIGN}|@|\.)[ \t]*\}}|<[ \t]*({_SIGN}|@|\.)[ \t]*>)[ \t]*", re.I)
-_SPOKEN = re.compile(
-    r"(?<![A-Za-z0-9])[A-Za-z0-9_%+-]+(?:[ \t]+(?:dot|punkt|point|punto)[ \t]+[A-Za-z0-9_%+-]+)*([ \t]+)(at|arobase|arroba)([ \t]+)"
-    r"[A-Za-z0-9-]+(?:(?:[ \t]+(?:dot|punkt|point|punto)[ \t]+|\.)[A-Za-z0-9-]+)*[ \t]+(?:dot|punkt|point|punto)[ \t]+[A-Za-z]{2,}(?![A-Za-z0-9])", re.I)
+_BRACKET = re.compile(rf"(?:\([ \t]*({_SIGN}|@|\.)[ \t]*\)|\[[ \t]*({_SIGN}|@|\.)[ \t]*\]|\{{[ \t]*({_SIGN}|@|\.)[ \t]*\}}|<[ \t]*({_SIGN}|@|\.)[ \t]*>)[ \t]*", re.I)
+_DOTS, _WORD = frozenset({"dot", "punkt", "point", "punto"}), frozenset(_LOCAL - {"."})
+#: What follows a spoken "at" and the sign itself: a name with a spoken dot before its last part.
+_SPOKEN_AT = re.compile(r"(?<=[A-Za-z0-9_%+-])[ \t]+(?:at|arobase|arroba)[ \t]+", re.I)
+_SPOKEN_HOST = re.compile(r"[A-Za-z0-9-]+(?:(?:[ \t]+(?:dot|punkt|point|punto)[ \t]+|\.)[A-Za-z0-9-]+)*[ \t]+(?:dot|punkt|point|punto)[ \t]+[A-Za-z]{2,}(?![A-Za-z0-9])", re.I)
 _WORD_SIGN = re.compile(r"[ \t]+(at|arobase|arroba|dot|punkt|point|punto)[ \t]+", re.I)
 _SPOKEN_DOT = re.compile(r"[ \t]+(?:dot|punkt|point|punto|\.)[ \t]+", re.I)
 _AFTER_AT = re.compile(r"@[ \t]*[A-Za-z0-9-]+(?:(?:[ \t]+(?:dot|punkt|point|punto|\.)[ \t]+|\.)[A-Za-z0-9-]+)+", re.I)
@@ -157,17 +172,48 @@ def _digits(m: Mapped) -> None:
 
 
 def _brackets(m: Mapped) -> None:
-    edits = []
+    edits, last = [], 0
     for x in _BRACKET.finditer(m.text):
-        said = next(g for g in x.groups() if g)
-        edits.append((x.start(), x.end(), SIGNS.get(said.lower(), said)))
+        said, start = next(g for g in x.groups() if g), x.start()
+        while start > last and m.text[start - 1] in " \t":
+            start -= 1
+        edits.append((start, x.end(), SIGNS.get(said.lower(), said)))
+        last = x.end()
     m.replace(edits)
 
 
+def _name_before(text: str, end: int, floor: int) -> int:
+    """Start of the name that ends here: words with spoken dots between, back to ``floor`` at the most."""
+    start = end
+    while True:
+        at = start
+        while at > floor and text[at - 1] in _WORD:
+            at -= 1
+        if at == start:
+            return end
+        end = start = at
+        while at > floor and text[at - 1] in " \t":
+            at -= 1
+        word = at
+        while word > floor and start - word < 16 and text[word - 1].isalpha():
+            word -= 1
+        if at == start or text[word:at].lower() not in _DOTS or word == floor or text[word - 1] not in " \t":
+            return end
+        start = word
+        while start > floor and text[start - 1] in " \t":
+            start -= 1
+
+
 def _spoken(m: Mapped) -> None:
-    edits = []
-    for x in _SPOKEN.finditer(m.text):
-        edits += [(w.start(), w.end(), SIGNS[w[1].lower()]) for w in _WORD_SIGN.finditer(m.text, x.start(), x.end())]
+    edits, last, at = [], 0, 0
+    while x := _SPOKEN_AT.search(m.text, at):
+        host = _SPOKEN_HOST.match(m.text, x.end())
+        # what was looked at in vain holds no other sign, except as the word right behind this one
+        at = host.end() if host else x.end() - 1
+        if host:
+            start = _name_before(m.text, x.start(), last)
+            edits += [(w.start(), w.end(), SIGNS[w[1].lower()]) for w in _WORD_SIGN.finditer(m.text, start, host.end())]
+            last = host.end()
     m.replace(edits)
     edits = []
     for x in _AFTER_AT.finditer(m.text):
@@ -187,29 +233,42 @@ def _regions(text: str) -> list[tuple[int, int]]:
     """Stretches of the text around hints, merged where they touch and ending at white space."""
     out: list[list[int]] = []
     for x in _HINT.finditer(text):
-        if out and x.start() - REACH <= out[-1][1]:
-            out[-1][1] = x.end() + REACH
-        else:
-            out.append([max(0, x.start() - REACH), x.end() + REACH])
-    for r in out:
-        while 0 < r[0] and not text[r[0] - 1].isspace():
-            r[0] -= 1
-        while r[1] < len(text) and not text[r[1]].isspace():
-            r[1] += 1
-        r[1] = min(r[1], len(text))
-    merged: list[tuple[int, int]] = []
-    for a, b in out:
-        if merged and a <= merged[-1][1]:
-            merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
+        start, end = x.start() - REACH, x.end() + REACH
+        floor = out[-1][1] if out else 0
+        while start > floor and not text[start - 1].isspace():
+            start -= 1
+        if out and start <= floor:
+            if end <= floor:
+                continue
         else:
-            merged.append((a, b))
-    return merged
+            out.append([max(0, start), 0])
+        behind = _SPACE.search(text, min(end, len(text)))
+        out[-1][1] = behind.start() if behind else len(text)
+    return [(a, b) for a, b in out]
+
+
+class _Placed:
+    """Spans by kind, those of a kind in order and apart, to look up which of them a range touches."""
+
+    def __init__(self, spans: list[Span]):
+        self.spans = {k: sorted(s for s in spans if s.kind == k) for k in KINDS}
+        self.ends = {k: [s.end for s in v] for k, v in self.spans.items()}
+
+    def touched(self, start: int, end: int) -> list[Span]:
+        out = []
+        for kind, spans in self.spans.items():
+            i = bisect_right(self.ends[kind], start)
+            while i < len(spans) and spans[i].start < end:
+                out.append(spans[i])
+                i += 1
+        return out
 
 
 def hidden_spans(text: str, base: list[Span]) -> list[Span]:
     """What only the normalised text shows, in source characters. A find that touches a base span is left out,
     unless it holds every base span it touches, is of the kind of one of them and goes beyond them."""
     added: list[Span] = []
+    placed, reached = _Placed(base), dict.fromkeys(KINDS, 0)
     for a, b in _regions(text):
         m = Mapped(text[a:b])
         for step in (_glyphs, _digits, _brackets, _spoken, _spaced):
@@ -218,11 +277,13 @@ def hidden_spans(text: str, base: list[Span]) -> list[Span]:
             if find.kind == "email" and not re.search(r"\.[A-Za-z]{2,}$", m.text[find.start : find.end]):
                 continue
             s, e = m.source(find).start + a, m.source(find).end + a
-            touched = [x for x in base if x.start < e and s < x.end]
+            touched = placed.touched(s, e)
             longer = any(x.kind == find.kind for x in touched) and all(s <= x.start and x.end <= e and (s, e) != (x.start, x.end) for x in touched)
-            same = (touched and not longer) or any(x.kind == find.kind and x.start < e and s < x.end for x in added)
-            if not same:
-                added.append(Span(find.kind, s, e))
+            # finds of a kind come in order, so only the last one can be touched
+            if (touched and not longer) or s < reached[find.kind]:
+                continue
+            reached[find.kind] = e
+            added.append(Span(find.kind, s, e))
     return added
 
 
