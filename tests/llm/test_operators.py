@@ -95,7 +95,7 @@ def test_long_line_join_equals_brute_force(spark):
         return row[-1]
 
     def allowed(line):
-        pieces = {x for x in re.findall(line_dedup.PIECE, line) if len(x) >= line_dedup.PIECE_CHARS}
+        pieces = {x for x in re.findall(f"(?s).*?(?:{line_dedup.PIECE_END}|(?!.))", line) if len(x) >= line_dedup.PIECE_CHARS}
         return min(len(line) // line_dedup.PER_EDIT, (len(pieces) - 1) // 2)
 
     rng, lines = random.Random(5), set()

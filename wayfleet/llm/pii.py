@@ -268,7 +268,7 @@ def hidden_spans(text: str, base: list[Span]) -> list[Span]:
     """What only the normalised text shows, in source characters. A find that touches a base span is left out,
     unless it holds every base span it touches, is of the kind of one of them and goes beyond them."""
     added: list[Span] = []
-    placed, reached = _Placed(base), dict.fromkeys(KINDS, 0)
+    placed, reached, refused = _Placed(base), dict.fromkeys(KINDS, 0), set()
     for a, b in _regions(text):
         m = Mapped(text[a:b])
         for step in (_glyphs, _digits, _brackets, _spoken, _spaced):
@@ -277,10 +277,13 @@ def hidden_spans(text: str, base: list[Span]) -> list[Span]:
             if find.kind == "email" and not re.search(r"\.[A-Za-z]{2,}$", m.text[find.start : find.end]):
                 continue
             s, e = m.source(find).start + a, m.source(find).end + a
+            # finds of a kind come in order, so only the last one can be touched
+            if s < reached[find.kind] or (find.kind, s, e) in refused:
+                continue
             touched = placed.touched(s, e)
             longer = any(x.kind == find.kind for x in touched) and all(s <= x.start and x.end <= e and (s, e) != (x.start, x.end) for x in touched)
-            # finds of a kind come in order, so only the last one can be touched
-            if (touched and not longer) or s < reached[find.kind]:
+            if touched and not longer:
+                refused.add((find.kind, s, e))  # many finds of a rewritten run stand for all of it
                 continue
             reached[find.kind] = e
             added.append(Span(find.kind, s, e))
