@@ -15,6 +15,7 @@ from wayfleet.session import shared_dir
 from wayfleet.sources import kafka
 from wayfleet.sources.landed import cluster_by_tick, crawl, landed_folders, read_landed, register
 from wayfleet.streaming.job import main, parse
+from wayfleet.streaming.job import parse
 from wayfleet.streaming.land import start_landing
 from wayfleet.streaming.supervise import supervise
 
@@ -105,8 +106,8 @@ def test_violations_on_known_rows(spark):
 
 
 def test_reconcile_shows_topics_of_either_side(spark):
-    produced = spark.createDataFrame([("a", "1"), ("a", "2"), ("a", "3"), ("b", "1")], "topic string, id string")
-    there = spark.createDataFrame([("a", "1"), ("a", "2"), ("a", "2"), ("c", "1")], "topic string, id string")
+    produced = spark.createDataFrame([("a", "1"), ("a", "2"), ("a", "3"), ("b", "1")], "topic string, record string")
+    there = spark.createDataFrame([("a", "1"), ("a", "2"), ("a", "2"), ("c", "1")], "topic string, record string")
     got = {r["topic"]: tuple(r)[1:] for r in quality.reconcile(produced, there).collect()}
     assert got == {"a": (3, 3, 1, 0, 1), "b": (1, 0, 1, 0, 0), "c": (0, 1, 0, 1, 0)}
 
@@ -210,6 +211,27 @@ def test_kafka_options():
     assert kafka.source_options(limited, "gps")["minPartitions"] == "64"
 
 
+def test_further_kafka_options_reach_source_and_sink():
+    further = {"failOnDataLoss": "false", "kafka.security.protocol": "SSL"}
+    config = JobConfig(root="/r", brokers="k:9", max_offsets_per_trigger=10, kafka_options=further)
+    assert further.items() <= kafka.source_options(config, "gps").items()
+    table = kafka.table_options(config, "gps")
+    assert table["endingOffsets"] == "latest" and "maxOffsetsPerTrigger" not in table and further.items() <= table.items()
+    assert kafka.sink_options(config) == {"kafka.bootstrap.servers": "k:9", "kafka.security.protocol": "SSL"}
+    given, _ = parse(["--root", "/r", "--kafka-option", "failOnDataLoss=false", "--kafka-option", "kafka.x=a=b", "--account"])
+    assert given.kafka_options == {"failOnDataLoss": "false", "kafka.x": "a=b"} and given.account
+    with pytest.raises(SystemExit):
+        parse(["--root", "/r", "--kafka-option", "nothing"])
+
+
+def test_rows_without_id_are_reconciled_by_content(spark):
+    rows = [(None, "d", None, None, 1.0), (None, "d", None, None, 2.0), ("a", "d", None, None, 1.0)]
+    produced = {"gps": spark.createDataFrame(rows, schema("gps"))}
+    landed_ = {"gps": spark.createDataFrame([(None, "d", None, None, 3.0), rows[0], rows[0], rows[2]], schema("gps"))}
+    got = quality.reconcile(*(quality.tag_topics(side, DEFAULT_TOPICS) for side in (produced, landed_))).collect()
+    assert [tuple(r) for r in got] == [("gps_data", 3, 4, 1, 1, 1)]
+
+
 def test_scratch_goes_below_the_named_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_dir(spark), shared_dir(spark)

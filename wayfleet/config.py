@@ -25,6 +25,8 @@ class JobConfig:
     # Rate and parallelism limits of the Kafka source; None leaves Spark's default.
     max_offsets_per_trigger: int | None = None
     min_partitions: int | None = None
+    # Further options of the Kafka source and sink, such as ``kafka.security.protocol`` or ``failOnDataLoss``.
+    kafka_options: Mapping[str, str] = field(default_factory=dict)
     # None starts the next batch as soon as the last one is done, which at a low input
     # rate lands many small files; a processing-time interval bounds the file count.
     trigger_interval: str | None = None

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfleet.schemas import WATERMARK
@@ -23,6 +23,12 @@ def _drop_copies_in_batch(keys: list[str]):
     return run
 
 
+def known_by(records: DataFrame, key: str = "id") -> Column:
+    """What tells records apart: the key, or for a row without one its whole content."""
+    content = F.to_json(F.struct(*(F.col(f"`{c}`") for c in records.columns)))
+    return F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.concat(F.lit("c"), content))
+
+
 def dedup_stream(records: DataFrame, key: str = "id", delay: str = WATERMARK, combine: bool = False) -> DataFrame:
     """Drop records that are delivered again within ``delay`` of their first arrival; lose nothing else.
 
@@ -35,9 +41,7 @@ def dedup_stream(records: DataFrame, key: str = "id", delay: str = WATERMARK, co
     Arrow batch before that, for streams where one record may hold a large share of a batch; it takes all
     rows through Python.
     """
-    content = F.to_json(F.struct(*(F.col(f"`{c}`") for c in records.columns)))
-    known = F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.concat(F.lit("c"), content))
-    marked = records.withColumn(COPY_OF, known)
+    marked = records.withColumn(COPY_OF, known_by(records, key))
     if combine:
         marked = marked.mapInArrow(_drop_copies_in_batch([COPY_OF]), marked.schema)
     arrived = marked.withColumn(ARRIVED, F.current_timestamp()).withWatermark(ARRIVED, delay)

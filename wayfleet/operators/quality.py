@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wayfleet.operators.dedup import known_by
 from wayfleet.schemas import DOMAINS, WATERMARK
 
 
@@ -59,11 +60,13 @@ def topic_counts(log: DataFrame) -> DataFrame:
 
 
 def tag_topics(records: Mapping[str, DataFrame], topics: Mapping[str, str]) -> DataFrame:
-    """``topic, device_id, timestamp, id`` of several frames in one."""
-    return reduce(
-        DataFrame.unionByName,
-        (df.select(F.lit(topics[kind]).alias("topic"), "id", "device_id", "timestamp") for kind, df in records.items()),
+    """``topic, device_id, timestamp, id, record`` of several frames in one; ``record`` tells records apart, by content
+    where they have no id."""
+    tagged = (
+        df.select(F.lit(topics[kind]).alias("topic"), "id", "device_id", "timestamp", known_by(df).alias("record"))
+        for kind, df in records.items()
     )
+    return reduce(DataFrame.unionByName, tagged)
 
 
 def drop_empty(records: DataFrame) -> DataFrame:
@@ -74,15 +77,15 @@ def drop_empty(records: DataFrame) -> DataFrame:
 def reconcile(produced: DataFrame, landed: DataFrame) -> DataFrame:
     """``topic, produced, landed`` counts side by side, and records that are ``missing``, ``extra`` or ``duplicated``.
 
-    Records are told apart by ``id``: missing ones were produced more often than they landed, extra ones
-    landed without having been produced, duplicated ones landed more often than they were produced. Each
-    counts rows; rows without id are one record of their topic. A topic of one side counts 0 on the other. Both inputs
-    are counted by record and then by topic, without a join.
+    Records are told apart by ``record`` (see ``tag_topics``): missing ones were produced more often than they landed, extra
+    ones landed without having been produced, duplicated ones landed more often than they were produced. Each counts
+    rows. Rows without id are the same record if all their columns agree, so both sides need the same columns and
+    types. A topic of one side counts 0 on the other. Both inputs are counted by record and then by topic, without a join.
     """
-    both = produced.select("topic", "id", F.lit(1).alias("p"), F.lit(0).alias("l")).unionByName(
-        landed.select("topic", "id", F.lit(0).alias("p"), F.lit(1).alias("l"))
+    both = produced.select("topic", "record", F.lit(1).alias("p"), F.lit(0).alias("l")).unionByName(
+        landed.select("topic", "record", F.lit(0).alias("p"), F.lit(1).alias("l"))
     )
-    each = both.groupBy("topic", "id").agg(F.sum("p").alias("p"), F.sum("l").alias("l"))
+    each = both.groupBy("topic", "record").agg(F.sum("p").alias("p"), F.sum("l").alias("l"))
     more = F.greatest(F.col("l") - F.col("p"), F.lit(0))
     return each.groupBy("topic").agg(
         F.sum("p").alias("produced"),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from wayfleet.functions.geo import expected_step
 from wayfleet.schemas import (
     CAMERA,
     DEFAULT_TOPICS,
@@ -169,8 +168,8 @@ WHERE until IS NULL OR epoch_us(until) - epoch_us(event_ts) > 60000000""",
 SELECT event_id, dlat, dlon,
        CASE WHEN lat < 42.3396E0 THEN 1 ELSE -1 END AS lat_dir,
        CASE WHEN lon < -71.0698E0 THEN 1 ELSE -1 END AS lon_dir,
-       abs(abs(dlat) - {expected_step(0)!r}::DOUBLE) <= 0.0005E0
-         AND abs(abs(dlon) - {expected_step(1)!r}::DOUBLE) <= 0.0005E0 AS step_ok
+       abs(abs(dlat) - abs(abs(40.758896E0) - abs(42.3396E0)) / 100E0) <= 0.0005E0
+         AND abs(abs(dlon) - abs(abs(-73.985130E0) - abs(-71.0698E0)) / 100E0) <= 0.0005E0 AS step_ok
 FROM (SELECT event_id, lat, lon, lat - lag(lat) OVER {BY_DEVICE} AS dlat,
              lon - lag(lon) OVER {BY_DEVICE} AS dlon FROM ticks)""",
         "gap_audit": WITH_TICKS + f"""
@@ -178,9 +177,12 @@ SELECT event_id, device_id, gap_us, gap_us BETWEEN 30000000 AND 60000000 AS in_r
 FROM (SELECT event_id, device_id,
              epoch_us(event_ts) - epoch_us(lag(event_ts) OVER {BY_DEVICE}) AS gap_us FROM ticks)""",
         "quality_violations": _violations(),
-        "reconcile_topics": WITH_RECORDS
-        + _union("SELECT '{topic}' AS topic, count(*) AS produced, count(*) AS landed, "
-                 "0::BIGINT AS missing, 0::BIGINT AS extra, 0::BIGINT AS duplicated FROM {kind}"),
+        "reconcile_topics": WITH_TICKS + _union(
+            "SELECT '{topic}' AS topic, count(*) AS produced, "
+            "count(*) - count(*) FILTER (WHERE event_id % 11 = 0) + count(*) FILTER (WHERE event_id % 7 = 0 AND event_id % 11 <> 0) "
+            "+ count(*) FILTER (WHERE event_id % 13 = 0) AS landed, "
+            "count(*) FILTER (WHERE event_id % 11 = 0) AS missing, count(*) FILTER (WHERE event_id % 13 = 0) AS extra, "
+            "count(*) FILTER (WHERE event_id % 7 = 0 AND event_id % 11 <> 0) AS duplicated FROM ticks"),
         "rollup_stream": WITH_RECORDS + """
 SELECT time_bucket(INTERVAL 1 HOUR, "timestamp") AS window_start, device_id, count(*) AS n,
        CAST(sum(CAST(round(speed * 100) AS BIGINT)) AS BIGINT) AS sum_cents

@@ -9,9 +9,6 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-KAFKA_PACKAGE = "org.apache.spark:spark-sql-kafka-0-10_2.13:4.1.2"
-S3A_PACKAGE = "org.apache.hadoop:hadoop-aws:3.4.2"
-
 # Settings that can be changed on a running session.
 RUNTIME = {
     # Wire timestamps carry no zone.

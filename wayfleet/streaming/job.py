@@ -16,6 +16,7 @@ def parse(argv: list[str] | None = None) -> tuple[JobConfig, bool]:
     parser.add_argument("--trigger-interval", help="time between batches, such as '1 minute'")
     parser.add_argument("--max-offsets-per-trigger", type=int)
     parser.add_argument("--min-partitions", type=int)
+    parser.add_argument("--kafka-option", action="append", metavar="NAME=VALUE", help="further option of the Kafka source, more than once if needed")
     parser.add_argument("--partition-by-date", action="store_true", help="add event_date folders")
     parser.add_argument("--quarantine", action="store_true", help="keep undecodable text, in verdict=bad folders")
     parser.add_argument("--dedup", action="store_true", help="drop records re-delivered within an hour of their first arrival; later copies are kept")
@@ -23,6 +24,11 @@ def parse(argv: list[str] | None = None) -> tuple[JobConfig, bool]:
     parser.add_argument("--available-now", action="store_true", help="land what the topics hold and end")
     given = {k: v for k, v in vars(parser.parse_args(argv)).items() if v is not None}
     available_now = given.pop("available_now")
+    options = given.pop("kafka_option", [])
+    wrong = [o for o in options if "=" not in o]
+    if wrong:
+        parser.error(f"not NAME=VALUE: {wrong[0]}")
+    given["kafka_options"] = dict(o.split("=", 1) for o in options)
     return JobConfig.from_env(**given), available_now
 
 
