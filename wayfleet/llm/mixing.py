@@ -114,7 +114,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), cap: float = 3.0,
     is dealt to many leaves by row hash.
 
     Null text has size 0; documents of size 0 take their whole part only and add no words. Null sources
-    are one source. Rows that repeat are rounded one by one. Ties are broken by row hash and ``doc_id``,
+    are one source. Rows that repeat are rounded one by one and dealt to as many leaves as they fill. Ties are broken by row hash and ``doc_id``,
     so reruns agree. An empty table gives an empty result.
     """
     text = filled(F.col("text"))
@@ -123,18 +123,24 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), cap: float = 3.0,
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
         row_key(F.col("doc_id"), F.col("text"), F.col("source")).alias("row"),
     )
-    rows = cut(rows)
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_n"))
+    # rows that repeat are one row with a count until they are dealt
+    rows = cut(rows.groupBy("doc_id", "source", "size", "row").agg(F.count(F.lit(1)).alias("_times")))
+    sizes = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("_times")).alias("source_size"), F.sum("_times").alias("_n"))
     targets = cut(source_targets(sizes, weights, cap))
     widest = targets.agg(F.max("_n")).first()[0] or 0
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     other = targets.withColumnRenamed("source", "_source")
+    # at most a leaf of copies of a row stays together
+    blocks = F.explode(F.expr(f"sequence(0L, (_times - 1) div {LEAF})"))
+    inside = F.explode(F.expr(f"sequence(1L, least({LEAF}, _times - _block * {LEAF}))"))
+    rows = rows.withColumn("_block", blocks).withColumn("_copy", inside).drop("_copy", "_times")
+    dealt = F.when(F.col("_block") == 0, F.col("row")).otherwise(F.xxhash64("row", "_block"))
     level = (
         rows.join(other, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
         .withColumn("whole", F.floor(ratio + 1e-12))
         .withColumn("mass", F.greatest(ratio - F.col("whole"), F.lit(0.0)) * F.col("size"))
-        .withColumn("node", F.pmod(F.col("row"), F.ceil(F.col("_n") / LEAF)).cast("long"))
-        .withColumn("open", F.lit(True)).drop("_n")
+        .withColumn("node", F.pmod(dealt, F.ceil(F.col("_n") / LEAF)).cast("long"))
+        .withColumn("open", F.lit(True)).drop("_n", "_block")
     )
     schema, decided = level.schema, []
     depth = 1 + max(0, math.ceil(math.log(max(1, math.ceil(widest / LEAF)), FAN_IN) - 1e-9))
