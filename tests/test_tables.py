@@ -15,7 +15,6 @@ from wayfleet.session import shared_dir
 from wayfleet.sources import kafka
 from wayfleet.sources.landed import cluster_by_tick, crawl, landed_folders, read_landed, register
 from wayfleet.streaming.job import main, parse
-from wayfleet.streaming.job import parse
 from wayfleet.streaming.land import start_landing
 from wayfleet.streaming.supervise import supervise
 
@@ -78,7 +77,7 @@ def test_landed_timestamps_carry_statistics(spark, landed):
 def test_clustered_tables_correlate_without_a_shuffle(spark, same, landed):
     names = cluster_by_tick(spark, "reg3", landed, buckets=4)
     tables = {kind: spark.table(name) for kind, name in zip(KINDS, names, strict=True)}
-    files = [f for f in os.listdir(f"{landed.root}/by_tick/gps_data") if f.endswith(".parquet")]
+    files = [f for f in os.listdir(f"{landed.root}/by_tick/gps_data/v=0") if f.endswith(".parquet")]
     assert len(files) == 4 and tables["gps"].count() == 1000
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -95,6 +94,22 @@ def test_clustered_tables_correlate_without_a_shuffle(spark, same, landed):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_clustering_again_switches_readers_at_once(spark, tmp_path):
+    config = JobConfig(root=str(tmp_path))
+    for kind in KINDS:
+        spark.createDataFrame([], schema(kind)).write.parquet(config.output(kind))
+    row = ("a", "d", dt.datetime(2024, 1, 1), None, 1.0)
+    readers = []
+    for n in range(4):
+        spark.createDataFrame([(f"{n}", *row[1:]), (f"{n}", *row[1:]), ("x", None, None, None, None)], schema("gps")).write.mode("append").parquet(config.output("gps"))
+        names = cluster_by_tick(spark, "reg5", config, buckets=2)
+        readers.append(spark.table(names[KINDS.index("gps")]))
+    # every reader sees its own version as long as it is kept; names stay the same
+    assert [r.count() for r in readers[2:]] == [3, 4]
+    assert sorted(os.listdir(f"{config.root}/by_tick/gps_data")) == ["v=2", "v=3", "versions"]
+    assert {t.name for t in spark.catalog.listTables("reg5") if "gps" in t.name} == {"gps_data_by_tick", "gps_data_by_tick_2", "gps_data_by_tick_3"}
+
+
 def test_violations_on_known_rows(spark):
     when = dt.datetime(2024, 1, 1)
     gps = [("a", "d", when, "[1,2]", s) for s in (14.9, 15.0, 65.0, 65.1, None)]

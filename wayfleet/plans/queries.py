@@ -139,7 +139,7 @@ def correlate_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def correlate_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Correlation of landed tables after they were rewritten in the join-ready layout."""
     config = _landed_job(spark, sf_dir)
-    names = cluster_by_tick(spark, "wayfleet_clustered", config, buckets=8)
+    names = cluster_by_tick(spark, "wayfleet_clustered", config, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
     tables = {kind: spark.table(name) for kind, name in zip(KINDS, names, strict=True)}
     return _ntz(correlate(tables, unique=True))
 

@@ -13,10 +13,11 @@ from pyspark.sql.types import StructType
 from wayfleet.config import JobConfig
 from wayfleet.operators.correlate import TICK, one_per_record
 from wayfleet.schemas import EXTRA, KINDS, LEAD, schema
-from wayfleet.session import settings
+from wayfleet.sources import files
+from wayfleet.sources.versions import Versions
 
 
-#: End of the names of tables in the join-ready layout.
+#: Part of the names of tables in the join-ready layout.
 BY_TICK = "_by_tick"
 
 
@@ -67,7 +68,7 @@ def crawl(spark: SparkSession, database: str, config: JobConfig) -> list[Finding
     _create_database(spark, database, config)
     there = {t.name for t in spark.catalog.listTables(database)}
     folders = landed_folders(spark, f"{config.root.rstrip('/')}/output")
-    found = [Finding(name, "gone", "") for name in sorted(there - folders.keys()) if not name.endswith(BY_TICK)]
+    found = [Finding(name, "gone", "") for name in sorted(there - folders.keys()) if BY_TICK not in name]
     for name, where in folders.items():
         table, fields = f"`{database}`.`{name}`", _folder_schema(spark, config, name, where)
         if name in there and _location(spark, table) != where:  # the database was made for another root
@@ -143,27 +144,40 @@ def register(spark: SparkSession, database: str, config: JobConfig) -> list[str]
     return list(landed_folders(spark, f"{config.root.rstrip('/')}/output"))
 
 
-def cluster_by_tick(spark: SparkSession, database: str, config: JobConfig, buckets: int) -> list[str]:
-    """Rewrite the landed tables bucketed by tick, below ``<root>/by_tick``; returns the table names.
+def cluster_by_tick(spark: SparkSession, database: str, config: JobConfig, buckets: int, keep: int = 2) -> list[str]:
+    """Rewrite the landed tables bucketed by tick, below ``<root>/by_tick``; returns the names to read them by.
 
     Correlating the rewritten tables needs no shuffle, however often it is done. One file per bucket
     also replaces the many small files of a low-rate stream. Only what can correlate is rewritten:
     rows without device or time stay in the landed tables, and copies of a record count once.
+
+    Every run writes new tables aside and then switches the names, which are views, over to them. Readers
+    are never without a table, and those at work keep theirs: the last ``keep`` versions stay.
     """
     _create_database(spark, database, config)
     names = []
-    # With as many partitions as buckets the shuffle that drops copies also forms the buckets.
-    with settings(spark, {"spark.sql.shuffle.partitions": str(buckets)}):
-        for kind in KINDS:
-            topic = config.topics[kind]
-            name = f"{database}.{topic}{BY_TICK}"
-            (
-                one_per_record(read_landed(spark, config, kind), "id")
-                .write.bucketBy(buckets, *TICK)
-                .sortBy(*TICK)
-                .mode("overwrite")
-                .option("path", f"{config.root.rstrip('/')}/by_tick/{topic}")
-                .saveAsTable(name)
-            )
-            names.append(name)
+    for kind in KINDS:
+        topic = config.topics[kind]
+        root, name = f"{config.root.rstrip('/')}/by_tick/{topic}", f"`{database}`.`{topic}{BY_TICK}`"
+        versions = Versions(spark, root)
+        last = versions.latest()
+        number = last[0] + 1 if last else 0
+        table = f"`{database}`.`{topic}{BY_TICK}_{number}`"
+        # the shuffle that brings the records of a tick together also forms the buckets
+        placed = read_landed(spark, config, kind).dropna(subset=list(TICK)).repartition(buckets, *TICK)
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        (
+            one_per_record(placed, "id")
+            .write.bucketBy(buckets, *TICK)
+            .sortBy(*TICK)
+            .mode("overwrite")
+            .option("path", f"{root}/v={number}")
+            .saveAsTable(table)
+        )
+        versions.publish(number, {"number": number, "table": table})
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {table}")
+        for gone in versions.expire(keep):
+            spark.sql(f"DROP TABLE IF EXISTS {gone['table']}")
+            files.remove(spark, f"{root}/v={gone['number']}")
+        names.append(name)
     return names
