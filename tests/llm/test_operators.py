@@ -117,6 +117,59 @@ def test_long_line_join_equals_brute_force(spark):
         assert {(r["a"], r["b"]) for r in line_dedup.similar_long_lines(frame, crowd).collect()} == expected
 
 
+def test_report_equals_brute_force(spark):
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a):
+            before, row[0] = row[0], i + 1
+            for j, y in enumerate(b):
+                before, row[j + 1] = row[j + 1], min(row[j + 1] + 1, row[j] + 1, before + (x != y))
+        return row[-1]
+
+    def allowed(line):
+        pieces = {x for x in re.findall(f"(?s).*?(?:{line_dedup.PIECE_END}|(?!.))", line) if len(x) >= line_dedup.PIECE_CHARS}
+        return min(len(line) // line_dedup.PER_EDIT, (len(pieces) - 1) // 2)
+
+    rng, docs = random.Random(21), []
+    word = ["morning", "the", "vehicle", "road", "seven", "is", "passed", "with", "traffic", "near", "é", "漢字"]
+    bases = [" ".join(rng.choice(word) for _ in range(n)) for n in (1, 2, 4, 10, 17, 18, 19, 20, 21, 22, 24, 30, 45)] + ["x" * 130, "ab" * 70, "a", "bc"]
+    for base in bases:
+        for n in (0, 0, 1, 1, 2, 3, 5):
+            s = list(base)
+            for _ in range(n):
+                at, kind = rng.randrange(len(s) + 1), rng.randrange(3)
+                s[at:at + (kind < 2)] = [] if kind == 0 else [rng.choice("abno ")]
+            docs.append("".join(s))
+    rng.shuffle(docs)
+    docs = ["\n".join([*docs[i:i + 4], "", " "]) for i in range(0, len(docs), 4)]
+    rows = [(i, t) for i, t in enumerate(docs)]
+    lines = sorted({x for t in docs for x in t.split("\n") if x.strip(" \t\r")})
+    near, root = Counter(), {x: x for x in lines}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(lines, 2):
+        k = max(min(allowed(a), allowed(b)) if min(allowed(a), allowed(b)) > 1 else 0, int(min(len(a), len(b)) > 3))
+        if abs(len(a) - len(b)) <= k and distance(a, b) <= k:
+            near.update((a, b))
+            root[find(a)] = find(b)
+    seen, want = set(), {}
+    for i, text in rows:
+        gone = []
+        for at, x in enumerate(text.split("\n")):
+            if x in root:
+                if find(x) in seen:
+                    gone.append(at)
+                seen.add(find(x))
+        want[i] = (gone, sum(near[x] for x in text.split("\n")))
+    got = {r["doc_id"]: (r["removed"], r["n_links"]) for r in line_dedup.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(n for _, n in want.values()) > 100
+    assert got == want
+
+
 def test_long_lines_with_a_changed_word_are_near(spark):
     line = " ".join(f"{w} wonderful{i}" for i, w in enumerate(["morning", "vehicle", "road", "passed", "traffic"] * 8))
     docs = spark.createDataFrame([(0, line), (1, line.replace("wonderful7 ", "marvellous7 ")), (2, line[:300])], "doc_id long, text string")
