@@ -1,0 +1,83 @@
+"""Spreading of trust against plain iteration, and what it decides."""
+
+import random
+from collections import defaultdict
+
+import pytest
+
+from wayfleet.llm import url_trust
+
+PAGES = "page_id long, url string, html string"
+
+
+def plain_walks(own, ways, damping, rounds=200):
+    """Chance that a walk along weighted ways ends on the marked share of a host's pages."""
+    score = {h: own.get(h, 0.0) for h in ways.keys() | own.keys()}
+    for _ in range(rounds):
+        new = {}
+        for h in score:
+            total = sum(ways.get(h, {}).values())
+            if not total:
+                new[h] = own.get(h, 0.0)
+                continue
+            around = sum(w * score[o] for o, w in ways[h].items()) / total
+            new[h] = (1 - damping) * own[h] + damping * around if h in own else around
+        score = new
+    return score
+
+
+def test_scores_equal_plain_iteration_on_a_random_graph(spark):
+    rng = random.Random(5)
+    hosts = [f"h{i}" for i in range(60)]
+    allowed = {h: rng.choice([0, 0, 0.5, 1]) for h in hosts[:50]}
+    blocked = {h: rng.choice([0, 0, 1]) * (1 - allowed[h]) for h in hosts[:50]}
+    edges = {}
+    for _ in range(220):
+        a, b = rng.choice(hosts), hosts[min(59, int(rng.expovariate(0.1)))]
+        if a != b:
+            edges[a, b] = edges.get((a, b), 0.0) + rng.randint(1, 3)
+    forth, back = defaultdict(dict), defaultdict(dict)
+    for (a, b), w in edges.items():
+        forth[a][b] = w
+        back[b][a] = w
+    for side in (forth, back):
+        for h in hosts:
+            side.setdefault(h, {})
+    seeds = spark.createDataFrame([(h, float(allowed[h]), float(blocked[h])) for h in allowed], "host string, allowed double, blocked double")
+    links = spark.createDataFrame([(a, b, w) for (a, b), w in edges.items()], "a string, b string, w double")
+    got = {r["host"]: (r["trust"], r["distrust"]) for r in url_trust.spread(seeds, links, 0.5, 60, 1e-12).collect()}
+    trust, distrust = plain_walks(allowed, back, 0.5), plain_walks(blocked, forth, 0.5)
+    assert set(got) == set(allowed) | {h for e in edges for h in e}
+    for h, (t, d) in got.items():
+        assert t == pytest.approx(trust[h], abs=1e-6) and d == pytest.approx(distrust[h], abs=1e-6)
+        assert 0 <= t <= 1 and 0 <= d <= 1
+
+
+def judged(spark, pages, rules, **options):
+    rows = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)], PAGES)
+    return {r["host"]: r for r in url_trust.judge_urls(rows, rules, **options).collect()}
+
+
+def test_strangers_below_a_public_suffix_are_not_tied(spark):
+    pages = [(f"http://bad{i}.co.uk/", None) for i in range(20)] + [("http://www.honest.co.uk/", None), ("http://shop.honest.co.uk/", None)]
+    rules = [url_trust.Rule("block", f"bad{i}.co.uk", "/") for i in range(20)]
+    got = judged(spark, pages, rules)
+    assert {got[h]["verdict"] for h in ("www.honest.co.uk", "shop.honest.co.uk")} == {"allow"}
+    assert got["www.honest.co.uk"]["distrust"] == 0
+    # where the domain is one owner's, it is given so
+    assert judged(spark, pages, rules, suffixes=())["www.honest.co.uk"]["verdict"] == "block"
+
+
+def test_a_link_to_a_blocked_host_counts_whoever_else_links_there(spark):
+    def link(*hosts):
+        return " ".join(f'<a href="http://{h}/">x</a>' for h in hosts)
+
+    pages = [("http://spam.com/", None), ("http://a.org/", link("spam.com")), ("http://b.net/", link("w.com", "x.com", "y.com", "z.com", "spam.com")),
+             *((f"http://many{i}.de/", link("spam.com")) for i in range(30)), ("http://good.com/", link("fan.com")), ("http://fan.com/", link("spam.com"))]
+    rules = [url_trust.Rule("block", "spam.com", "/"), url_trust.Rule("allow", "good.com", "/")]
+    got = judged(spark, pages, rules)
+    assert got["a.org"]["verdict"] == "block" and got["a.org"]["distrust"] == pytest.approx(0.5, abs=1e-3)
+    assert got["b.net"]["verdict"] == "allow" and got["b.net"]["distrust"] < 0.2
+    # its only link leads to spam, but a good host links to it
+    assert got["fan.com"]["trust"] == pytest.approx(0.5, abs=1e-3) and got["fan.com"]["verdict"] == "allow"
+    assert got["spam.com"]["rule"] == "spam.com/" and got["good.com"]["verdict"] == "allow"

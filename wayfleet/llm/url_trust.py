@@ -25,6 +25,11 @@ class Rule(NamedTuple):
 
 #: The rules of the registered query.
 RULES = (Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"), Rule("block", "example.com", "/de/"), Rule("allow", "org", "/fr/"))
+#: Names below which anyone may register: hosts there have no more in common than those of a top-level domain.
+SUFFIXES = (
+    "ac.uk", "co.uk", "gov.uk", "net.uk", "org.uk", "com.au", "net.au", "org.au", "co.nz", "co.za", "co.in", "co.jp", "ne.jp", "or.jp",
+    "co.kr", "com.br", "com.cn", "com.mx", "com.tr", "com.ar", "com.sg", "com.hk", "com.tw", "github.io", "blogspot.com", "wordpress.com",
+)
 #: Moves between hosts, or hosts, of a partition while trust spreads.
 MOVES = 200_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -49,12 +54,12 @@ def matching(rules: Sequence[Rule], host: Column, path: Column) -> Column:
     return found
 
 
-def host_edges(pages: DataFrame) -> DataFrame:
-    """``(a, b, w, tied)``: hosts and the hosts they link to, by number of links, and each host tied both ways, with
-    weight 1, to every domain above it that is a host too or that another host shares; ``tied`` is the part of ``w`` from ties.
+def host_edges(pages: DataFrame, suffixes: Sequence[str] = SUFFIXES) -> DataFrame:
+    """``(a, b, w)``: hosts and the hosts they link to, by number of links, and each host tied both ways, with
+    weight 1, to every domain above it that is a host too or that another host shares.
 
-    Relative links stay on their host and are no edges. Domains go down to two labels and need no pages;
-    addresses made of numbers, and names beyond the 253 characters of a host name, have none.
+    Relative links stay on their host and are no edges. Domains go down to two labels, leave out ``suffixes`` and need
+    no pages; addresses made of numbers, and names beyond the 253 characters of a host name, have none.
     """
     links = pages.select("host", F.explode(F.array_distinct(F.regexp_extract_all(filled(F.col("html")), F.lit(_HREF), F.lit(1)))).alias("link"))
     links = links.select("host", host_and_path(F.regexp_replace("link", r"^//", "http://"))[0].alias("to")).where("host <> to AND to <> ''")
@@ -62,29 +67,27 @@ def host_edges(pages: DataFrame) -> DataFrame:
     hosts = cut(pages.select("host").union(linked.select("a")).union(linked.select("b")).distinct())
     named = hosts.where(~F.col("host").rlike(r"^[0-9.]+(:[0-9]*)?$") & (F.length("host") <= 253)).select("host", F.split("host", r"\.").alias("_labels"))
     ups = F.expr("transform(sequence(1, size(_labels) - 2), i -> array_join(slice(_labels, i + 1, size(_labels)), '.'))")
-    above = cut(named.where("size(_labels) > 2").select("host", F.explode(ups).alias("up")))
+    above = cut(named.where("size(_labels) > 2").select("host", F.explode(ups).alias("up")).where(~F.col("up").isin(list(suffixes))))
     shared = above.groupBy("up").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("up")
     shared = shared.union(hosts.select(F.col("host").alias("up"))).distinct()
     ties = above.join(shared, "up")
     both = ties.select(F.explode(F.array(F.struct(F.col("host").alias("a"), F.col("up").alias("b")), F.struct(F.col("up").alias("a"), F.col("host").alias("b")))).alias("e"))
-    edges = linked.select("a", "b", "w", F.lit(0.0).alias("tied")).union(both.select("e.a", "e.b", F.lit(1.0), F.lit(1.0)))
-    return edges.where("a <> ''").groupBy("a", "b").agg(F.sum("w").alias("w"), F.sum("tied").alias("tied"))
+    edges = linked.union(both.select("e.a", "e.b", F.lit(1.0)))
+    return edges.where("a <> ''").groupBy("a", "b").agg(F.sum("w").alias("w"))
 
 
 def spread(seeds: DataFrame, edges: DataFrame, damping: float, rounds: int, close: float) -> DataFrame:
-    """Trust and distrust of every host: ``host, trust, distrust``.
-
-    ``seeds`` holds the share of a host's pages that rules allow and block. Trust is personalised
-    PageRank along the links, distrust the same against them: what a host has, times ``damping``, is dealt to
-    its neighbours by weight and added to their seed. A tie is half the way between two hosts of a domain and is
-    damped by the square root. At a damping of 0.5 a host without seeds thus gets the mean distrust of
-    the hosts it shares a domain with. A host that nothing points to keeps its seed. Ends
-    after ``rounds`` or when no score moves by more than ``close``.
+    """Trust and distrust of every host, each from 0 to 1: ``host, trust, distrust``.
+
+    ``seeds`` holds the share of a host's pages that rules allow and block. Distrust is personalised PageRank against
+    the links, held per host to the weight of its own links: the chance that a walk from the host, which goes on along a link
+    with probability ``damping`` and else ends where it is, ends on a blocked page. Trust is the same along the links
+    that lead to the host, read at allowed pages. A walk never ends on a domain without pages. A host with few ways in or
+    out and one with many are thus on one scale. Ends after ``rounds`` or when no score moves by more than ``close``.
     """
     out = edges.groupBy("a").agg(F.sum("w").alias("out"))
     into = edges.groupBy("b").agg(F.sum("w").alias("into"))
-    kept = F.lit(damping) * (F.col("w") - F.col("tied")) + F.lit(damping**0.5) * F.col("tied")
-    shares = cut(edges.join(out, "a").join(into, "b").select("a", "b", (kept / F.col("out")).alias("f"), (kept / F.col("into")).alias("g")))
+    shares = cut(edges.join(out, "a").join(into, "b").select("a", "b", (F.col("w") / F.col("into")).alias("f"), (F.col("w") / F.col("out")).alias("g")))
     moves = cut(shares.select(F.explode(F.array(
         F.struct(F.col("a").alias("src"), F.col("b").alias("dst"), F.col("f").alias("t"), F.lit(0.0).alias("d")),
         F.struct(F.col("b").alias("src"), F.col("a").alias("dst"), F.lit(0.0).alias("t"), F.col("g").alias("d")),
@@ -92,20 +95,28 @@ def spread(seeds: DataFrame, edges: DataFrame, damping: float, rounds: int, clos
     # few partitions and one join a round: rounds are many and small
     known = moves.count()
     moves = moves.coalesce(max(1, -(-known // MOVES)))
-    others = moves.select(F.col("dst").alias("host")).distinct().join(seeds, "host", "left_anti")
-    start = seeds.union(others.select("host", F.lit(0.0), F.lit(0.0))).select("host", "allowed", "blocked")
-    now = cut(start.withColumns({"trust": F.col("allowed"), "distrust": F.col("blocked")}))
+    # what a host keeps of its own: all without a way on, nothing without pages
+    ways = moves.groupBy(F.col("dst").alias("_dst")).agg(F.max(F.col("t") > 0).alias("_t"), F.max(F.col("d") > 0).alias("_d"))
+    paged = seeds.select("host", "allowed", "blocked", F.lit(True).alias("paged"))
+    others = ways.join(seeds, F.col("_dst") == F.col("host"), "left_anti").select(F.col("_dst"), F.lit(0.0), F.lit(0.0), F.lit(False))
+    start = paged.union(others).join(ways, F.col("host") == F.col("_dst"), "left")
+
+    def own(way: str) -> Column:
+        return F.when(~F.coalesce(way, F.lit(False)), 1.0).when(F.col("paged"), 1 - damping).otherwise(0.0)
+
+    now = cut(start.select("host", "allowed", "blocked", own("_t").alias("own_t"), own("_d").alias("own_d"),
+                           F.col("allowed").alias("trust"), F.col("blocked").alias("distrust")))
     parts = max(1, -(-max(known, now.count()) // MOVES))
     now = now.coalesce(parts)
     for _ in range(rounds if known else 0):
         passed = moves.join(now.select(F.col("host").alias("src"), "trust", "distrust"), "src").groupBy("dst").agg(
             F.sum(F.col("t") * F.col("trust")).alias("t_in"), F.sum(F.col("d") * F.col("distrust")).alias("d_in")
         )
-        trust = F.col("allowed") + F.coalesce("t_in", F.lit(0.0))
-        distrust = F.col("blocked") + F.coalesce("d_in", F.lit(0.0))
+        trust = F.col("own_t") * F.col("allowed") + (1 - F.col("own_t")) * F.coalesce("t_in", F.lit(0.0))
+        distrust = F.col("own_d") * F.col("blocked") + (1 - F.col("own_d")) * F.coalesce("d_in", F.lit(0.0))
         moved = F.greatest(F.abs(trust - F.col("trust")), F.abs(distrust - F.col("distrust")))
         step = now.join(passed, F.col("host") == F.col("dst"), "left")
-        step = cut(step.select("host", "allowed", "blocked", trust.alias("trust"), distrust.alias("distrust"), moved.alias("moved")))
+        step = cut(step.select("host", "allowed", "blocked", "own_t", "own_d", trust.alias("trust"), distrust.alias("distrust"), moved.alias("moved")))
         step = step.coalesce(parts)
         now = step.drop("moved")
         if not step.where(F.col("moved") > F.lit(close)).take(1):
@@ -114,12 +125,13 @@ def spread(seeds: DataFrame, edges: DataFrame, damping: float, rounds: int, clos
 
 
 def judge_urls(
-    pages: DataFrame, rules: Sequence[Rule] = RULES, damping: float = 0.5, rounds: int = 20, close: float = 1e-4, limit: float = 0.5
+    pages: DataFrame, rules: Sequence[Rule] = RULES, damping: float = 0.5, rounds: int = 20, close: float = 1e-4, limit: float = 0.2,
+    suffixes: Sequence[str] = SUFFIXES,
 ) -> DataFrame:
     """Every page without its ``html``, with ``host, path, rule, verdict, trust, distrust``.
 
     The longest rule that fits decides. Other pages follow their host: blocked when its distrust is at least
-    ``limit`` (as if half of its own pages were blocked) and above its trust. Seeds are the
+    ``limit`` (one walk in five from it ends on a blocked page) and above its trust. Seeds are the
     shares of a host's pages that rules allow or block. Null and malformed URLs have empty host and path
     and no edges; they are judged by the share of rules on pages like them, so they are allowed. Null ``html``
     has no links. Repeated rows count as often as they occur and are judged alike. Columns of the result's
@@ -132,7 +144,7 @@ def judge_urls(
         F.avg(F.coalesce(F.col("_rule.verdict") == "allow", F.lit(False)).cast("double")).alias("allowed"),
         F.avg(F.coalesce(F.col("_rule.verdict") == "block", F.lit(False)).cast("double")).alias("blocked"),
     )
-    scores = spread(cut(seeds), cut(host_edges(ruled.select("host", "html"))), damping, rounds, close)
+    scores = spread(cut(seeds), cut(host_edges(ruled.select("host", "html"), suffixes)), damping, rounds, close)
     scores = scores.withColumnRenamed("host", "_host")
     judged = ruled.drop("html").join(scores, F.col("host") == F.col("_host"), "left").drop("_host")
     bad = (F.col("distrust") >= F.lit(limit)) & (F.col("distrust") > F.col("trust"))
