@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -39,6 +40,12 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def sweep(spark: SparkSession) -> None:
+    """Let the driver forget frames that nothing refers to any more; Spark then deletes the shuffle files behind them."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def without(frame: DataFrame, names: Sequence[str]) -> DataFrame:
     """The frame without columns of these names, whatever their case."""
     taken = {name.lower() for name in names}
