@@ -177,6 +177,23 @@ def test_long_lines_with_a_changed_word_are_near(spark):
     assert [(report[i]["removed"], report[i]["n_links"]) for i in range(3)] == [([], 1), ([0], 1), ([], 0)]
 
 
+def test_a_large_group_of_long_lines_makes_few_pairs(spark, monkeypatch):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("bcdfghjk") for _ in range(11)) + "e" for _ in range(36)]
+    lines = [" ".join(words)] + [" ".join([*words[:i], words[i].replace(words[i][4], "w"), *words[i + 1:]]) for i in range(36)]
+    asked, paired = [], line_dedup._paired
+
+    def spy(pairs, texts):
+        asked.append(pairs.count())
+        return paired(pairs, texts)
+
+    monkeypatch.setattr(line_dedup, "_paired", spy)
+    frame = spark.createDataFrame(list(enumerate(lines)), "id long, line string")
+    found = {(r["a"], r["b"]) for r in line_dedup.similar_long_lines(frame).collect()}
+    assert found == set(itertools.combinations(range(37), 2))
+    assert sum(asked) <= 3 * len(lines)
+
+
 def test_later_lines_go_and_other_columns_stay(docs):
     got = {r["doc_id"]: r["text"] for r in line_dedup.without_repeats(docs).collect()}
     assert got[6].endswith("number one") and got[7] == "x" and got[8] == "" and got[0] is None and got[3] == ""
