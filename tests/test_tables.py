@@ -9,6 +9,7 @@ from wayfleet.config import JobConfig
 from wayfleet.operators import quality
 from wayfleet.operators.codec import encode
 from wayfleet.operators.correlate import correlate
+from wayfleet.plans import queries
 from wayfleet.plans.ticks import records, ticks, ticks_stream
 from wayfleet.schemas import DEFAULT_TOPICS, KINDS, schema
 from wayfleet.session import shared_dir
@@ -251,3 +252,23 @@ def test_scratch_goes_below_the_named_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_dir(spark), shared_dir(spark)
     assert first.startswith(base) and first != second
+
+
+@pytest.fixture
+def small_events(spark, tmp_path):
+    rows = [(i, dt.datetime(2024, 1, 1, i % 7, i % 50), i % 9, "click", float(i % 80), f'{{"k": {i % 100}}}') for i in range(240)]
+    made = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    made.repartition(12).write.parquet(f"{tmp_path}/events.parquet")
+    documents = spark.createDataFrame([(i, f"prose {i}") for i in range(5)], "doc_id long, text string")
+    documents.write.parquet(f"{tmp_path}/documents.parquet")
+    return str(tmp_path)
+
+
+def test_violations_stream_keeps_kinds_apart(spark, small_events, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "shared_dir", lambda _: f"{tmp_path}/job")
+    started, land = [], queries.land
+    monkeypatch.setattr(queries, "land", lambda *a, **k: started.append(a) or land(*a, **k))
+    found = queries.violations_stream(spark, small_events)
+    totals = {(r["topic"], r["rule"]): r["bad"] for r in found.groupBy("topic", "rule").agg(F.sum("violations").alias("bad")).collect()}
+    batch = {(r["topic"], r["rule"]): r["violations"] for r in queries.quality_violations(spark, small_events).collect()}
+    assert totals == batch and len(started) == 5

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,18 +39,31 @@ def _ntz(df: DataFrame, column: str = "timestamp", name: str | None = None) -> D
 
 
 def _run(spark: SparkSession, stream: DataFrame, folder: str, windows: bool = False) -> DataFrame:
-    """Land all of a stream below a folder and return the landed table.
+    """Land all of a stream below a folder and return the landed table."""
+    return _run_each(spark, {folder: stream}, windows)
 
-    Only windows need the extra batch without data that Spark appends to bring out what the last
+
+def _run_each(spark: SparkSession, streams: Mapping[str, DataFrame], windows: bool = False) -> DataFrame:
+    """Land all of several streams, each by a query of its own below its folder, and return the landed rows of all.
+
+    A task reports the metrics of every operator of its stage to the driver, so a union of n streams in one query
+    would send n times the bytes. Only windows need the extra batch without data that Spark appends to bring out what the last
     watermark closed; joins and dedup have emitted everything by then.
     """
     at_start = {
         "spark.sql.streaming.noDataMicroBatches.enabled": str(windows).lower(),
     }
-    with settings(spark, at_start):
-        query = land(stream, f"{folder}/out", f"{folder}/checkpoint", available_now=True)
-    supervise(spark, [query])
-    return spark.read.schema(stream.schema).parquet(f"{folder}/out")
+    queries = []
+    try:
+        with settings(spark, at_start):
+            for folder, stream in streams.items():
+                queries.append(land(stream, f"{folder}/out", f"{folder}/checkpoint", available_now=True))
+    except BaseException:
+        for query in queries:
+            query.stop()
+        raise
+    supervise(spark, queries)
+    return reduce(DataFrame.unionByName, [spark.read.schema(stream.schema).parquet(f"{folder}/out") for folder, stream in streams.items()])
 
 
 def _landed_job(spark: SparkSession, sf_dir: str) -> JobConfig:
@@ -260,8 +273,8 @@ def violations_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_dir(spark)
     rows, delay = _deliveries(spark, ticks(spark, sf_dir), folder)
     streams = records(rows)
-    counted = [quality.violations_by_window(streams[kind], DEFAULT_TOPICS[kind], DOMAINS[kind], delay=delay) for kind in KINDS]
-    found = _run(spark, reduce(DataFrame.unionByName, counted), folder, windows=True)
+    counted = {f"{folder}/{kind}": quality.violations_by_window(streams[kind], DEFAULT_TOPICS[kind], DOMAINS[kind], delay=delay) for kind in KINDS}
+    found = _run_each(spark, counted, windows=True)
     return _ntz(found, "window_start")
 
 
