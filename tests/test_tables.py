@@ -12,7 +12,7 @@ from wayfleet.operators.correlate import correlate
 from wayfleet.plans import queries
 from wayfleet.plans.ticks import records, ticks, ticks_stream
 from wayfleet.schemas import DEFAULT_TOPICS, KINDS, schema
-from wayfleet.session import shared_dir
+from wayfleet.session import settings, shared_dir
 from wayfleet.sources import kafka
 from wayfleet.sources.landed import cluster_by_tick, crawl, landed_folders, read_landed, register
 from wayfleet.streaming.job import main, parse
@@ -264,6 +264,15 @@ def small_events(spark, tmp_path):
     return str(tmp_path)
 
 
+def test_accounts_take_few_batches_of_many_files(spark, small_events, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "shared_dir", lambda _: f"{tmp_path}/job")
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "4194304"}):
+        got = {r["topic"]: tuple(r)[1:] for r in queries.landing_accounts(spark, small_events).collect()}
+    assert got["gps_data"] == (480, 480, 0, 48) and got["vehicle_data"][:3] == (960, 960, 480) and got["weather_data"][:3] == (490, 490, 10)
+    assert len(list((tmp_path / "job/log/gps").glob("*.parquet"))) == 24
+    assert len(list((tmp_path / "job/accounts/gps_data").glob("*.json"))) <= 8
+
+
 def test_violations_stream_keeps_kinds_apart(spark, small_events, tmp_path, monkeypatch):
     monkeypatch.setattr(queries, "shared_dir", lambda _: f"{tmp_path}/job")
     started, land = [], queries.land

@@ -165,7 +165,7 @@ def landing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landing_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Figures of the landing job over topics with records of another layout, prose and records without time, in two
-    runs on one checkpoint: the second finds new files only."""
+    runs on one checkpoint: the second finds new files only. A run takes at most four batches, however many files there are."""
     config = JobConfig(root=shared_dir(spark), account=True)
     tick_rows, events = ticks(spark, sf_dir), spark.read.parquet(f"{sf_dir}/events.parquet")
     timeless = tick_rows.withColumn("timestamp", F.when(F.col("k") % 10 != 0, F.col("timestamp")))
@@ -174,10 +174,12 @@ def landing_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     prose = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("text").cast("binary").alias("value"))
     values["weather"] = values["weather"].select("value").unionByName(prose)
     logs = {kind: df.select("value") for kind, df in values.items()}
-    for _ in range(2):
+    for run in range(2):
+        streams = {}
         for kind, log in logs.items():
             log.write.mode("append").parquet(f"{config.root}/log/{kind}")
-        streams = {kind: table_stream(spark, f"{config.root}/log/{kind}", log.schema, files_per_batch=1) for kind, log in logs.items()}
+            files = len(spark.read.schema(log.schema).parquet(f"{config.root}/log/{kind}").inputFiles())
+            streams[kind] = table_stream(spark, f"{config.root}/log/{kind}", log.schema, files_per_batch=max(1, -(-files // (4 * (run + 1)))))
         land_supervised(spark, config, streams, available_now=True)
     return accounts(spark, config)
 
