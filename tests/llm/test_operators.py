@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from wayfleet.llm import bpe, dart_minhash, line_dedup, mixing, pii, quality_model, quality_rules, sharding, topk, url_trust
+from wayfleet.session import settings
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, ids string"
 RNG = random.Random(9)
@@ -194,6 +195,34 @@ def test_a_large_group_of_long_lines_makes_few_pairs(spark, monkeypatch):
     assert sum(asked) <= 3 * len(lines)
 
 
+def test_pieces_of_long_lines_are_shuffled_once(spark, monkeypatch):
+    lines = [" ".join(f"{w} wonderful{i}" for i, w in enumerate(["morning", "vehicle", "road"] * 8)), "other wonderful3 " * 9]
+    plans, cut = [], line_dedup.cut
+    monkeypatch.setattr(line_dedup, "cut", lambda frame: plans.append(frame._jdf.queryExecution().executedPlan().toString()) or cut(frame))
+    with settings(spark, {"spark.sql.adaptive.enabled": "false"}):
+        line_dedup.long_links(spark.createDataFrame(list(enumerate(lines)), "id long, line string"))
+    assert "ReusedExchange" in plans[0]
+
+
+def test_few_rows_left_of_many_are_few_files(spark):
+    keys = spark.range(0, 20_000, 1, 4).select(F.when(F.col("id") < 2, 0).otherwise(F.col("id")).alias("key"), "id")
+    small = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    with settings(spark, small):
+        live = line_dedup._shared(keys)
+        assert live.rdd.getNumPartitions() <= 2
+    assert sorted(tuple(r) for r in live.collect()) == [(0, 0), (0, 1)]
+
+
+def test_lines_with_other_letters_are_not_verified(spark, monkeypatch):
+    line = " ".join(f"{w} wonderful{i}" for i, w in enumerate(["morning", "vehicle", "road", "flight", "traffic"] * 2))
+    near, far = line.replace("road", "roof", 1), line.replace("w", "q", 8)
+    asked, paired = [], line_dedup._paired
+    monkeypatch.setattr(line_dedup, "_paired", lambda pairs, texts: asked.append(pairs.count()) or paired(pairs, texts))
+    frame = spark.createDataFrame(list(enumerate([line, near, far])), "id long, line string")
+    assert {(r["a"], r["b"]) for r in line_dedup.similar_long_lines(frame).collect()} == {(0, 1)}
+    assert asked == [1]
+
+
 def test_later_lines_go_and_other_columns_stay(docs):
     got = {r["doc_id"]: r["text"] for r in line_dedup.without_repeats(docs).collect()}
     assert got[6].endswith("number one") and got[7] == "x" and got[8] == "" and got[0] is None and got[3] == ""
