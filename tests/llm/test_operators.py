@@ -195,6 +195,69 @@ def test_a_large_group_of_long_lines_makes_few_pairs(spark, monkeypatch):
     assert sum(asked) <= 3 * len(lines)
 
 
+def test_a_large_group_is_verified_without_a_row_for_a_pair(spark, monkeypatch):
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a):
+            before, row[0] = row[0], i + 1
+            for j, y in enumerate(b):
+                before, row[j + 1] = row[j + 1], min(row[j + 1] + 1, row[j] + 1, before + (x != y))
+        return row[-1]
+
+    rng = random.Random(9)
+    words = ["".join(rng.choice("bcdfghjk") for _ in range(11)) + "e" for _ in range(25)]
+    lines = [" ".join(words)]
+    for _ in range(40):
+        changed = list(words)
+        for i in rng.sample(range(25), 5):
+            at = rng.randrange(11)
+            changed[i] = changed[i][:at] + rng.choice("wé") + changed[i][at + 1:]
+        lines.append(" ".join(changed))
+    expected = {(i, j) for (i, a), (j, b) in itertools.combinations(enumerate(lines), 2) if distance(a, b) <= 8}
+    assert 60 < len(expected) < 700
+    asked, paired = [], line_dedup._paired
+    monkeypatch.setattr(line_dedup, "_paired", lambda pairs, texts: asked.append(pairs.count()) or paired(pairs, texts))
+    frame = spark.createDataFrame([*enumerate(lines), (0, lines[0])], "id long, line string")
+    for block in (512, 7):
+        monkeypatch.setattr(line_dedup, "BLOCK", block)
+        assert {(r["a"], r["b"]) for r in line_dedup.similar_long_lines(frame).collect()} == expected
+    assert sum(asked) <= 3 * 2 * len(lines)
+    # links are counted, and edges lead from each line to all that links lead to
+    for counted in (True, False):
+        pairs, _, inside = line_dedup.long_links(frame, counted=counted)
+        root = {i: i for i in range(len(lines))}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        rows = inside.collect()
+        for x, y in [(r["id"], y) for r in rows for y in r["edges"]] + [(r["a"], r["b"]) for r in pairs.collect()]:
+            assert (min(x, y), max(x, y)) in expected
+            root[find(x)] = find(y)
+        assert all(find(i) == find(j) for i, j in expected)
+        if counted:
+            links = Counter()
+            for r in rows:
+                links[r["id"]] += r["links"]
+            assert +links == Counter(i for pair in expected for i in pair)
+
+
+def test_lines_are_measured_as_their_pieces_say(spark):
+    rng = random.Random(2)
+    words = ["morning", "the", "vehicle", "é", "漢字road", "wonderful7", "seven", "is"]
+    lines = ["", "x" * 130, "e " * 60, " " * 90, "é漢" * 60, "morning the " * 20]
+    lines += [rng.choice(["", " "]) + " ".join(rng.choice(words) for _ in range(rng.randint(0, 60))) + rng.choice(["", " ", "e ", "\t"]) for _ in range(200)]
+    got = {r["id"]: r for r in line_dedup.measured(spark.createDataFrame(list(enumerate(lines)), "id long, line string")).collect()}
+    for i, line in enumerate(lines):
+        pieces = {x for x in re.findall(f"(?s).*?(?:{line_dedup.PIECE_END}|(?!.))", line) if len(x) >= line_dedup.PIECE_CHARS}
+        several = len(line) >= 80 and len(pieces) >= 5
+        assert got[i]["allowed"] == (min(len(line) // 40, (len(pieces) - 1) // 2) if several else None)
+        assert len(set(got[i]["keys"])) == len(got[i]["keys"]) == (len(pieces) if several else 0)
+        assert got[i]["rest"] == (line if len(line) <= 80 or len(pieces) < 7 else None)
+
+
 def test_pieces_of_long_lines_are_shuffled_once(spark, monkeypatch):
     lines = [" ".join(f"{w} wonderful{i}" for i, w in enumerate(["morning", "vehicle", "road"] * 8)), "other wonderful3 " * 9]
     plans, cut = [], line_dedup.cut
