@@ -5,6 +5,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -390,3 +392,35 @@ def test_pipeline_runs_its_stages_in_order(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "lines", "near_copies", "mix", "tokens"]
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert rows.count() > 0 and {"doc_id", "n_tokens", "ids", "decoded_sha256"} <= set(rows.columns)
+
+
+def test_lines_with_a_common_piece_do_not_become_one_group(spark):
+    rng = random.Random(12)
+    lines = [" ".join(["everywhere" * 3] + ["".join(rng.choice("bcdfghjk") for _ in range(11)) + "e" for _ in range(13)]) for _ in range(100)]
+    lines.append(lines[0].replace("b", "w", 1))
+    frame = spark.createDataFrame(list(enumerate(lines)), "id long, line string")
+    pairs, groups, inside = line_dedup.long_links(frame)
+    assert [tuple(r) for r in pairs.collect()] == [(0, 100)]
+    assert groups.count() == inside.count() == 0
+
+
+def test_near_lines_share_one_of_their_rarest_pieces():
+    rng = random.Random(13)
+    words = ["".join(rng.choice("abcdehno") for _ in range(rng.randint(1, 18))) for _ in range(40)]
+    for _ in range(60):
+        line = " ".join(rng.choice(words) for _ in range(rng.randint(30, 90)))
+        lines = [line]
+        for n in range(1, 12):
+            s = list(line)
+            for _ in range(n):
+                at, kind = rng.randrange(len(s)), rng.randrange(3)
+                s[at:at + (kind < 2)] = [] if kind == 0 else [rng.choice("abno ")]
+            lines.append("".join(s))
+        ids, texts = pa.array(range(12)), pa.array(lines)
+        some = np.unique(line_dedup._pieces(texts)[5])
+        some = some[np.array([rng.random() < 0.5 for _ in some])]
+        got = line_dedup._measure(ids, texts, (some, np.array(rng.sample(range(len(some)), len(some)), np.int64))).to_pylist()
+        assert all(len(r["keys"]) <= 2 * r["allowed"] + 1 for r in got if r["allowed"] is not None)
+        for n, r in enumerate(got):
+            if r["allowed"] is not None and got[0]["allowed"] is not None and n <= min(r["allowed"], got[0]["allowed"]):
+                assert set(r["keys"]) & set(got[0]["keys"])
