@@ -13,6 +13,7 @@ from wayfleet.operators.correlate import CARRIED, correlate
 from wayfleet.operators.dedup import dedup_stream, dedup_table
 from wayfleet.operators.rollup import speed_rollup
 from wayfleet.operators.trips import gaps, truncate_trips
+from wayfleet.plans import queries
 from wayfleet.schemas import DESTINATION, KINDS, schema
 from wayfleet.sources.landed import read_landed
 from wayfleet.sources.replay import text_log
@@ -385,3 +386,13 @@ def test_queries_started_before_one_that_cannot_start_are_stopped(spark, batches
     with pytest.raises(Exception):
         start_landing(spark, JobConfig(root=str(tmp_path / "r")), logs)
     assert {q.id for q in spark.streams.active} <= before
+
+
+def test_correlation_does_not_count_the_rows_of_its_state(spark, tmp_path, monkeypatch):
+    key = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+    rows = [(i, i, dt.datetime(2024, 1, 1, 10, 0, i), "click", 5.0, '{"k": 7}') for i in range(3)]
+    spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz, event_type string, value double, props string").write.parquet(str(tmp_path / "events.parquet"))
+    asked, landed = [], queries.land
+    monkeypatch.setattr(queries, "land", lambda *a, **b: asked.append(spark.conf.get(key, None)) or landed(*a, **b))
+    assert queries.correlate_stream(spark, str(tmp_path)).count() == 3
+    assert asked == ["false"] and spark.conf.get(key, None) is None
